@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.shape import derive_date
 from tidemark.spec import Entity
@@ -33,6 +33,27 @@ def daily_metrics_with_mark(
     )
 
 
+def daily_view(
+    spark: SparkSession, state: DataFrame, entity: Entity, exact_digits: int | None = None
+) -> DataFrame:
+    """The same metrics over the whole table, as one SQL query."""
+    amount = f"`{entity.measure}`"
+    if exact_digits is not None:
+        amount = f"CAST({amount} AS DECIMAL(18, {exact_digits}))"
+    return spark.sql(
+        f"""
+        SELECT `{entity.date}`,
+               COUNT(`{entity.key}`) AS `{entity.count_as}`,
+               CAST(SUM({amount}) AS DOUBLE) AS `{entity.sum_as}`,
+               MAX(`{entity.mark}`) AS `{entity.mark_as}`,
+               CURRENT_TIMESTAMP() AS `{entity.refreshed_as}`
+        FROM {{state}}
+        GROUP BY `{entity.date}`
+        """,
+        state=state,
+    )
+
+
 def _count_and_sum(entity: Entity, exact_digits: int | None) -> list[Column]:
     amount = F.col(entity.measure)
     if exact_digits is not None:
