@@ -17,7 +17,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.plans import gold, silver
 from tidemark.plans.lake import Lake, Settings
 from tidemark.plans.pipeline import follow
-from tidemark.session import configure, scratch_dir
+from tidemark.session import configure, keep, scratch_dir
 from tidemark.sources.tables import expired
 from tidemark.sources.upkeep import compact_slices
 from tidemark.spec import CATEGORY, CORRUPT, ORDER_EVENTS, REASON, RESCUED, VIOLATIONS, Contract, Entity
@@ -102,6 +102,17 @@ def silver_after(spark, sf, day: int, **options) -> DataFrame:
     return state
 
 
+def silver_states(spark, sf, days: int) -> list[DataFrame]:
+    """The table after each day.  Like a real run, each day starts from written files."""
+    valid = keep(clean(spark, sf), "clean")
+    states = []
+    for n in range(1, days + 1):
+        arrived = newest(valid.filter(F.col("ingest_timestamp") == at(DAYS[n - 1])))
+        state = merge(states[-1], arrived) if states else arrived
+        states.append(keep(state.select(*STATE), "state"))
+    return states
+
+
 def silver_cumulative(spark, sf) -> DataFrame:
     state = batch(spark, sf, 1)
     for n in (2, 3):
@@ -135,21 +146,34 @@ def gold_of(state: DataFrame, run: int) -> DataFrame:
 
 
 def gold_after(spark, sf, day: int, detect: str = "ingest") -> DataFrame:
-    metrics = gold_of(silver_after(spark, sf, 1), 1)
-    for n in range(2, day + 1):
-        state = silver_after(spark, sf, n)
+    metrics = None
+    for n, state in enumerate(silver_states(spark, sf, day), start=1):
         dates = daily.affected_dates(state, metrics, ORDER_EVENTS, detect)
-        metrics = daily.refresh(
-            metrics, state, dates, ORDER_EVENTS, detect != "ingest", 2, at(AS_OF[n - 1])
+        metrics = keep(
+            daily.refresh(
+                metrics, state, dates, ORDER_EVENTS, detect != "ingest", 2, at(AS_OF[n - 1])
+            ),
+            "metrics",
         )
     return metrics
 
 
+def dates_of_second_day(spark, sf, detect: str = "ingest", without: str = "") -> DataFrame:
+    first, second = silver_states(spark, sf, 2)
+    return daily.affected_dates(second, gold_of(first, 1).drop(without), ORDER_EVENTS, detect)
+
+
+def silver_on_affected_dates(spark, sf) -> DataFrame:
+    first, second = silver_states(spark, sf, 2)
+    dates = daily.affected_dates(second, gold_of(first, 1), ORDER_EVENTS)
+    return daily.restrict_to_dates(second, dates, ORDER_EVENTS).select(*STATE)
+
+
 def gold_legacy(spark, sf) -> DataFrame:
-    state = silver_after(spark, sf, 2)
-    old = gold_of(silver_after(spark, sf, 1), 1)
-    dates = daily.affected_dates(state, old, ORDER_EVENTS)
-    fresh = daily.refreshed_metrics(state, dates, ORDER_EVENTS, 2, at(AS_OF[1]))
+    first, second = silver_states(spark, sf, 2)
+    old = gold_of(first, 1)
+    dates = daily.affected_dates(second, old, ORDER_EVENTS)
+    fresh = daily.refreshed_metrics(second, dates, ORDER_EVENTS, 2, at(AS_OF[1]))
     legacy = old.withColumnRenamed("order_date", "timestamp").drop("gold_updated_at")
     return upsert.replace_by_legacy_key(legacy, fresh, "order_date", "timestamp")
 
@@ -408,22 +432,10 @@ def _registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_metrics": lambda s, d: gold_of(latest(s, d), 1),
         "date_high_water": lambda s, d: daily.high_water_marks(latest(s, d), ORDER_EVENTS),
         "gold_mv": gold_view,
-        "affected_dates": lambda s, d: daily.affected_dates(
-            silver_after(s, d, 2), gold_of(silver_after(s, d, 1), 1), ORDER_EVENTS
-        ),
-        "affected_dates_exact": lambda s, d: daily.affected_dates(
-            silver_after(s, d, 2), gold_of(silver_after(s, d, 1), 1), ORDER_EVENTS, "exact"
-        ),
-        "affected_silver": lambda s, d: daily.restrict_to_dates(
-            silver_after(s, d, 2),
-            daily.affected_dates(silver_after(s, d, 2), gold_of(silver_after(s, d, 1), 1), ORDER_EVENTS),
-            ORDER_EVENTS,
-        ).select(*STATE),
-        "gold_full_refresh": lambda s, d: daily.affected_dates(
-            silver_after(s, d, 2),
-            gold_of(silver_after(s, d, 1), 1).drop("source_max_ingest_timestamp"),
-            ORDER_EVENTS,
-        ),
+        "affected_dates": dates_of_second_day,
+        "affected_dates_exact": lambda s, d: dates_of_second_day(s, d, "exact"),
+        "affected_silver": silver_on_affected_dates,
+        "gold_full_refresh": lambda s, d: dates_of_second_day(s, d, without="source_max_ingest_timestamp"),
         "gold_merge": lambda s, d: gold_after(s, d, 2),
         "gold_merge_legacy_key": gold_legacy,
         "gold_incremental": lambda s, d: gold_after(s, d, 3),

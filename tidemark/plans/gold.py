@@ -8,70 +8,77 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.daily import affected_dates, daily_metrics_with_mark, refreshed_metrics
 from tidemark.plans.lake import Lake
-from tidemark.session import scratch_dir
-from tidemark.sources.tables import HistoryExpired
+from tidemark.session import scratch
+from tidemark.sources.tables import HistoryExpired, Snapshot
 
 # longest list of dates that is worth handing to the file reader one by one
 _LISTED_DATES = 500
 
 
-def find_affected(lake: Lake, state: DataFrame) -> DataFrame:
+def find_affected(lake: Lake, state: DataFrame, made: Snapshot) -> DataFrame:
     """Dates to compute again.
 
     ``changes`` asks the keyed table what its merges touched since the metrics
     were made; without metrics or that history it compares both tables.
     """
-    gold, entity, detect = lake.gold, lake.entity, lake.settings.detect
-    if not gold.exists():
+    entity, detect = lake.entity, lake.settings.detect
+    if not made.version:
         return affected_dates(state, None, entity)
     if detect == "changes":
         try:
-            return lake.silver.changed_dates(entity.date, gold.status()["source_version"])
+            return lake.silver.changed_dates(entity.date, made.source_version)
         except HistoryExpired:
             detect = "exact"
-    return affected_dates(state, gold.read(), entity, detect)
+    return affected_dates(state, lake.gold.read(snapshot=made), entity, detect)
 
 
 def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
     """Recompute the affected dates.  Returns the alerts, or None if there were none to do."""
     settings, entity = lake.settings, lake.entity
     silver, gold, date = lake.silver, lake.gold, entity.date
-    upto, state = silver.status()["version"], silver.read()
+    source, made = silver.snapshot(), gold.snapshot()
+    state = silver.read(snapshot=source)
 
     # written out: the dates are needed several times, and their size is then known
-    folder = scratch_dir(lake.spark, "dates")
-    find_affected(lake, state).write.parquet(folder)
-    dates = lake.spark.read.schema(f"`{date}` date").parquet(folder)
-    span = dates.agg(
-        F.count(F.lit(1)).alias("n"), F.min(date).alias("first"), F.max(date).alias("last")
-    ).first()
-    if span["n"] == 0:
-        if gold.exists() and gold.status()["source_version"] < upto:
-            gold.mark_processed(upto, as_of)
-        return None
-
-    # the keyed table is sorted by date within each file, so this skips row groups
-    listed = [r[0] for r in dates.limit(_LISTED_DATES + 1).collect()]
-    if None not in listed:
-        near = (
-            F.col(date).isin(listed)
-            if span["n"] <= _LISTED_DATES
-            else F.col(date).between(span["first"], span["last"])
+    with scratch(lake.spark, "dates") as folder:
+        find_affected(lake, state, made).write.parquet(folder)
+        dates = lake.spark.read.schema(f"`{date}` date").parquet(folder)
+        span = dates.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(date).alias("known"),
+            F.min(date).alias("first"),
+            F.max(date).alias("last"),
+            F.collect_set(gold.slice_of).alias("slices"),
+        ).first()
+        if span["n"] == 0:
+            if made.source_version < source.version:
+                gold.mark_processed(source.version, as_of)
+            return None
+
+        # the keyed table is sorted by date within each file: this skips row groups
+        if span["n"] == span["known"]:
+            state = state.filter(F.col(date).between(span["first"], span["last"]))
+            if span["n"] <= _LISTED_DATES:
+                state = state.filter(F.col(date).isin([r[0] for r in dates.collect()]))
+        fresh = refreshed_metrics(state, dates, entity, settings.exact_digits, as_of)
+
+        old = gold.read(span["slices"], snapshot=made).join(dates, date, "left_anti")
+        version = gold.replace(
+            gold.with_slice(old.unionByName(fresh)).repartition("_slice"),
+            span["slices"],
+            as_of=as_of,
+            source_version=source.version,
+            snapshot=made,
+        )
+        done = (
+            gold.written_since(version - 1, "merge")
+            .join(dates, date, "left_semi")
+            .agg(
+                F.count(F.lit(1)).alias("dates"),
+                F.coalesce(F.sum(entity.count_as), F.lit(0)).alias("rows"),
+            )
+            .first()
         )
-        state = state.filter(near)
-    fresh = refreshed_metrics(state, dates, entity, settings.exact_digits, as_of)
-
-    touched = [r[0] for r in gold.with_slice(dates).select("_slice").distinct().collect()]
-    kept = gold.read(touched).join(dates, date, "left_anti") if gold.exists() else None
-    rows = fresh if kept is None else kept.unionByName(fresh)
-    version = gold.replace(
-        gold.with_slice(rows).repartition("_slice"), touched, as_of=as_of, source_version=upto
-    )
-
-    written = gold.written_since(version - 1, "merge").join(dates, date, "left_semi")
-    done = written.agg(
-        F.count(F.lit(1)).alias("dates"), F.coalesce(F.sum(entity.count_as), F.lit(0)).alias("rows")
-    ).first()
     counts = {
         "input_records": done["rows"],
         "output_records": done["dates"],
@@ -85,9 +92,13 @@ def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
 
 def recompute(lake: Lake, as_of: Column | None = None) -> int:
     """All dates from the whole keyed table, replacing everything."""
-    gold, silver = lake.gold, lake.silver
-    upto = silver.status()["version"]
-    rows = daily_metrics_with_mark(silver.read(), lake.entity, lake.settings.exact_digits, as_of)
+    gold, source, made = lake.gold, lake.silver.snapshot(), lake.gold.snapshot()
+    state = lake.silver.read(snapshot=source)
+    rows = daily_metrics_with_mark(state, lake.entity, lake.settings.exact_digits, as_of)
     return gold.replace(
-        gold.with_slice(rows).repartition("_slice"), gold.current(), as_of=as_of, source_version=upto
+        gold.with_slice(rows).repartition("_slice"),
+        made.slices,
+        as_of=as_of,
+        source_version=source.version,
+        snapshot=made,
     )

@@ -50,6 +50,7 @@ class Settings:
     # silver reads "new" Bronze rows only, or "all" of them on every run
     read: str = "new"
     slices: int = 64
+    rows_per_task: int = 4_000_000
     broadcast_bytes: int = 32 * 1024 * 1024
 
     # gold: how affected dates are found ("changes", "exact", "ingest"),

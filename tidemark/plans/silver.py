@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -11,10 +12,20 @@ from tidemark.operators.contract import accepted, quality_counters, rejected, re
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.upsert import CHANGE, INSERTED, PREVIOUS_DATE, merge_newer, supersedes
 from tidemark.plans.lake import Lake
-from tidemark.session import scratch_dir
+from tidemark.session import scratch
 from tidemark.sources.tables import SlicedTable
 
 
+_NOTHING = {
+    "input_records": 0,
+    "output_records": 0,
+    "rejected_records": 0,
+    "rescued_records": 0,
+    "details": "cleanRecords=0,quarantineRows=0",
+    "alert_output": 0,
+}
+
+
 class TooManyRescued(RuntimeError):
     """More unreadable records than the settings allow in production."""
 
@@ -25,19 +36,17 @@ def process(lake: Lake, as_of: Column | None = None) -> DataFrame:
     Counting, quarantine and merge each read the batch once; nothing is cached,
     so the batch may be larger than the cluster's memory.
     """
-    settings, entity = lake.settings, lake.entity
-    bronze, silver = lake.bronze, lake.silver
-    upto = bronze.status()["version"]
-    if settings.read == "all":
-        events, run_id = bronze.read(), str(uuid.uuid4())
-    else:
-        seen = silver.status()["source_version"] if silver.exists() else 0
-        if silver.exists() and seen >= upto:
-            return lake.write_stage_audit("silver", _no_input(), str(uuid.uuid4()), as_of)
-        events = bronze.written_since(seen, "append").drop("_version", "_slice", CHANGE, PREVIOUS_DATE)
+    bronze, seen = lake.bronze, lake.silver.snapshot().source_version
+    arrived = bronze.snapshot()
+    if lake.settings.read == "all":
+        events, run_id = bronze.read(snapshot=arrived), str(uuid.uuid4())
+    elif seen < arrived.version:
+        events = bronze.written_since(seen, "append").drop("_version", "_slice")
         # a repeated run covers the same rows and replaces its own quarantine
         run_id = f"after-{seen}"
-    return process_events(lake, events, run_id, upto, as_of)
+    else:
+        return lake.write_stage_audit("silver", _NOTHING, str(uuid.uuid4()), as_of)
+    return process_events(lake, events, run_id, arrived.version, as_of)
 
 
 def process_events(
@@ -96,39 +105,50 @@ def merge_batch(
     """
     settings, entity = lake.settings, lake.entity
     columns = StructType.fromDDL(entity.state_schema).names
-    folder = scratch_dir(lake.spark, "batch")
-    silver.with_slice(newest.select(*columns)).write.parquet(folder)
-    batch = lake.spark.read.schema(f"{entity.state_schema}, _slice string").parquet(folder)
-
-    sizes = batch.groupBy("_slice").agg(F.sum(_row_bytes(batch)).alias("bytes")).collect()
-    touched, size = [r["_slice"] for r in sizes], sum(r["bytes"] for r in sizes)
-    # twice the slices, so that few tasks get two of them
-    tasks = 2 * len(touched)
-    old = set(silver.current()).intersection(touched)
-
-    if not old:
-        merged = batch.withColumns(
-            {CHANGE: F.lit(INSERTED), PREVIOUS_DATE: F.lit(None).cast("date")}
-        ).repartition(tasks, "_slice")
-    else:
-        target = silver.read(old, with_slice=True)
-        small = size <= settings.broadcast_bytes
-        if small:
-            batch = batch.repartition("_slice")
+    with scratch(lake.spark, "batch") as folder:
+        silver.with_slice(newest.select(*columns)).write.parquet(folder)
+        batch = lake.spark.read.schema(f"{entity.state_schema}, _slice string").parquet(folder)
+        sizes = (
+            batch.groupBy("_slice")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(batch)).alias("bytes"))
+            .collect()
+        )
+        touched = [r["_slice"] for r in sizes]
+        now = silver.snapshot()
+        old = {s: now.slices[s] for s in touched if s in now.slices}
+        most = max([r["rows"] for r in sizes] + [held.rows for held in old.values()])
+        # a slice too large for one task is spread over several
+        parts = math.ceil(most / settings.rows_per_task)
+        part = F.pmod(F.xxhash64(entity.key, F.lit("part")), F.lit(parts))
+        # twice as many tasks as there is work, so that few get two pieces of it
+        tasks = 2 * len(touched) * parts
+
+        def spread(df: DataFrame) -> DataFrame:
+            return df.withColumn("_part", part).repartition(tasks, "_slice", "_part")
+
+        if not old:
+            merged = spread(batch).withColumns(
+                {CHANGE: F.lit(INSERTED), PREVIOUS_DATE: F.lit(None).cast("date")}
+            )
         else:
-            target, batch = target.repartition(tasks, "_slice"), batch.repartition(tasks, "_slice")
-        merged = merge_newer(
-            target,
-            batch,
-            entity.key,
-            supersedes(entity.version_as, entity.updated_as),
-            cluster_by=["_slice"],
-            track_date=entity.date,
-            source_is_small=small,
+            target = silver.read(old, with_slice=True, snapshot=now)
+            small = sum(r["bytes"] for r in sizes) <= settings.broadcast_bytes
+            if small:
+                batch = batch.repartition("_slice")
+            else:
+                target, batch = spread(target), spread(batch)
+            merged = merge_newer(
+                target,
+                batch,
+                entity.key,
+                supersedes(entity.version_as, entity.updated_as),
+                cluster_by=["_slice"] if small else ["_slice", "_part"],
+                track_date=entity.date,
+                source_is_small=small,
+            )
+        return silver.replace(
+            merged.drop("_part"), as_of=as_of, source_version=source_version, snapshot=now
         )
-    return silver.replace(
-        merged, touched, kind="merge", as_of=as_of, source_version=source_version
-    )
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -136,14 +156,3 @@ def _row_bytes(df: DataFrame) -> Column:
     texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
     fixed = 16 * len(df.columns) + 16
     return sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(fixed))
-
-
-def _no_input() -> dict:
-    return {
-        "input_records": 0,
-        "output_records": 0,
-        "rejected_records": 0,
-        "rescued_records": 0,
-        "details": "cleanRecords=0,quarantineRows=0",
-        "alert_output": 0,
-    }

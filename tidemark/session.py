@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # zone-less timestamps and dates mean UTC
@@ -34,3 +36,26 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, purpose: str = "kept") -> DataFrame:
+    """Write ``df`` out and read it back: later steps start from the files."""
+    folder = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder for the time of a block."""
+    folder = scratch_dir(spark, purpose)
+    try:
+        yield folder
+    finally:
+        delete(spark, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path) and files.delete(path, True)

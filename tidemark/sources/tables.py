@@ -8,7 +8,8 @@ read nor written.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -52,6 +53,21 @@ class HistoryExpired(RuntimeError):
     """An earlier write that is still needed has been removed."""
 
 
+@dataclass(frozen=True)
+class Held:
+    """Where the newest rows of a slice are, and how many."""
+
+    version: int
+    rows: int
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    version: int
+    source_version: int
+    slices: dict[str, Held]
+
+
 class SlicedTable:
     """A table whose slices are replaced as a whole.
 
@@ -88,38 +104,34 @@ class SlicedTable:
             return self.spark.createDataFrame([], COMMITS)
         return self.spark.read.schema(COMMITS).parquet(self._log)
 
-    def status(self) -> dict:
-        """The newest version, and the newest version of the source it was made from."""
-        row = (
-            self.commits()
-            .agg(
-                F.coalesce(F.max("version"), F.lit(0)).alias("version"),
-                F.coalesce(F.max("source_version"), F.lit(0)).alias("source_version"),
-                F.max("layout").alias("layout"),
-            )
-            .first()
-            .asDict()
+    def snapshot(self) -> Snapshot:
+        """The state after the newest commit: a row per slice, read in one go."""
+        newest = self.commits().groupBy("slice").agg(
+            F.max("version").alias("version"),
+            F.max_by("rows", "version").alias("rows"),
+            F.coalesce(F.max("source_version"), F.lit(0)).alias("source_version"),
+            F.max("layout").alias("layout"),
         )
-        if row["layout"] not in (None, self.layout):
-            raise ValueError(f"{self.path} is sliced by {row['layout']}, not by {self.layout}")
-        return row
-
-    def current(self) -> dict[str, int]:
-        """The version that holds each slice; empty slices are left out."""
-        newest = (
-            self.commits()
-            .groupBy("slice")
-            .agg(F.max("version").alias("version"), F.max_by("rows", "version").alias("rows"))
-            .filter("slice IS NOT NULL AND rows > 0")
+        rows = newest.collect()
+        for row in rows:
+            if row["layout"] != self.layout:
+                raise ValueError(f"{self.path} is sliced by {row['layout']}, not by {self.layout}")
+        return Snapshot(
+            max((r["version"] for r in rows), default=0),
+            max((r["source_version"] for r in rows), default=0),
+            {r["slice"]: Held(r["version"], r["rows"]) for r in rows if r["slice"] and r["rows"]},
         )
-        return {row["slice"]: row["version"] for row in newest.select("slice", "version").collect()}
 
-    def read(self, slices: Iterable[str] | None = None, with_slice: bool = False) -> DataFrame:
+    def read(
+        self,
+        slices: Iterable[str] | None = None,
+        with_slice: bool = False,
+        snapshot: Snapshot | None = None,
+    ) -> DataFrame:
         """The newest rows, of all slices or of some."""
-        held = self.current()
-        if slices is not None:
-            held = {s: held[s] for s in slices if s in held}
-        rows = self._load(held)
+        held = (snapshot or self.snapshot()).slices
+        wanted = held if slices is None else [s for s in slices if s in held]
+        rows = self._scan([self.folder(held[s].version, s) for s in wanted])
         return rows.drop("_version", CHANGE, PREVIOUS_DATE, *([] if with_slice else ["_slice"]))
 
     def written_since(self, version: int, kind: str) -> DataFrame:
@@ -131,7 +143,7 @@ class SlicedTable:
         later = (F.col("version") > version) & (F.col("kind") == kind) & (F.col("rows") > 0)
         held = self.commits().filter(later).select("version", "slice").collect()
         try:
-            return self._scan([self._folder(row["version"], row["slice"]) for row in held])
+            return self._scan([self.folder(row["version"], row["slice"]) for row in held])
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 raise HistoryExpired(f"{self.path} no longer has all writes after {version}") from error
@@ -156,6 +168,7 @@ class SlicedTable:
         into: str | None = None,
         as_of: Column | None = None,
         source_version: int | None = None,
+        snapshot: Snapshot | None = None,
     ) -> int:
         """Write ``rows`` as the new content of their slices.
 
@@ -164,18 +177,26 @@ class SlicedTable:
         leaves nothing but files no commit mentions, and the next one overwrites
         them.
         """
-        version = self.status()["version"] + 1
-        folder = f"{self._data}/_version={version}"
+        version = (snapshot or self.snapshot()).version + 1
+        folder = self.folder(version)
         if into is not None:
-            rows.write.mode("overwrite").parquet(f"{folder}/_slice={into}")
+            rows.write.mode("overwrite").parquet(self.folder(version, into))
+            written = self.spark.read.parquet(self.folder(version, into)).select(
+                F.lit(into).alias("slice")
+            )
         else:
             if "_slice" not in rows.columns:
                 rows = self.with_slice(rows)
             if self.sort_by:
                 rows = rows.sortWithinPartitions("_slice", *self.sort_by)
             rows.write.mode("overwrite").partitionBy("_slice").parquet(folder)
+            written = self.spark.read.schema("_slice string").parquet(folder).select(
+                F.col("_slice").alias("slice")
+            )
+        # the count comes from the file footers
+        written = written.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
         named = self.spark.createDataFrame([(s,) for s in slices], "slice string")
-        written = self._count_slices(folder).join(named, "slice", "full_outer")
+        written = written.join(named, "slice", "full_outer")
         commit = written.select(
             F.lit(version).cast("bigint").alias("version"),
             "slice",
@@ -191,8 +212,7 @@ class SlicedTable:
 
     def changes_of(self, version: int) -> DataFrame:
         """Inserted, updated and untouched rows of a merge, as one row of counts."""
-        written = self.written_since(version - 1, "merge").filter(F.col("_version") == version)
-        return written.agg(
+        return self._scan([self.folder(version)]).agg(
             F.count_if(F.col(CHANGE) == INSERTED).alias("inserted"),
             F.count_if(F.col(CHANGE) == UPDATED).alias("updated"),
             F.count_if(F.col(CHANGE).isNull()).alias("untouched"),
@@ -201,7 +221,7 @@ class SlicedTable:
     def mark_processed(self, source_version: int, as_of: Column | None = None) -> None:
         """Record that the source was read up to here although nothing came of it."""
         nothing = self.spark.range(1).select(
-            F.lit(self.status()["version"]).cast("bigint").alias("version"),
+            F.lit(self.snapshot().version).cast("bigint").alias("version"),
             F.lit(None).cast("string").alias("slice"),
             F.lit(0).cast("bigint").alias("rows"),
             F.lit("mark").alias("kind"),
@@ -217,7 +237,7 @@ class SlicedTable:
         tracked = f", {CHANGE} string, {PREVIOUS_DATE} date" if self.tracks_changes else ""
         return f"{self.schema}{tracked}, _version bigint, _slice string"
 
-    def _folder(self, version: int, name: str | None = None) -> str:
+    def folder(self, version: int, name: str | None = None) -> str:
         folder = f"{self._data}/_version={version}"
         return folder if name is None else f"{folder}/_slice={name}"
 
@@ -227,15 +247,6 @@ class SlicedTable:
         reader = self.spark.read.schema(self._stored_schema()).option("basePath", self._data)
         return reader.parquet(*paths)
 
-    def _load(self, held: Mapping[str, int]) -> DataFrame:
-        return self._scan([self._folder(version, name) for name, version in held.items()])
-
-    def _count_slices(self, folder: str) -> DataFrame:
-        if not exists(self.spark, folder):
-            return self.spark.createDataFrame([], "slice string, rows bigint")
-        rows = self.spark.read.schema("_slice string").option("basePath", folder).parquet(folder)
-        return rows.groupBy(F.col("_slice").alias("slice")).agg(F.count(F.lit(1)).alias("rows"))
-
 
 def superseded(commits: DataFrame) -> DataFrame:
     """Each stored slice version with the time a newer one replaced it, if any."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.session import delete
 from tidemark.sources.tables import SlicedTable, expired, small_files
 
 FILE_BYTES = 256 * 1024 * 1024
@@ -21,9 +22,8 @@ def compact_slices(
     table: SlicedTable, file_bytes: int = FILE_BYTES, as_of: Column | None = None
 ) -> int | None:
     """Rewrite the slices that consist of several small files."""
-    if not table.exists():
-        return None
-    rows = table.read(with_slice=True)
+    now = table.snapshot()
+    rows = table.read(with_slice=True, snapshot=now)
     report = small_files(rows, file_bytes, "_slice").filter("small_files > 1").collect()
     if not report:
         return None
@@ -31,38 +31,32 @@ def compact_slices(
     # a slice larger than a file is spread over several tasks
     parts = max(math.ceil(r["bytes"] / file_bytes) for r in report)
     spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "_slice"]), F.lit(parts))
-    chosen = table.read(slices, with_slice=True).withColumn("_part", spread)
+    chosen = table.read(slices, with_slice=True, snapshot=now).withColumn("_part", spread)
     packed = chosen.repartition(parts * len(slices), "_slice", "_part").drop("_part")
-    return table.replace(packed, slices, kind="compact", as_of=as_of)
+    return table.replace(packed, slices, kind="compact", as_of=as_of, snapshot=now)
 
 
 def fold_slices(
     table: SlicedTable, file_bytes: int = FILE_BYTES, as_of: Column | None = None
 ) -> int | None:
     """Put the small slices of an append-only table together into one."""
-    if not table.exists():
-        return None
+    now = table.snapshot()
     report = (
-        small_files(table.read(with_slice=True), file_bytes, "_slice")
+        small_files(table.read(with_slice=True, snapshot=now), file_bytes, "_slice")
         .filter(F.col("bytes") < file_bytes)
         .collect()
     )
     if len(report) < 2:
         return None
     slices = [r["_slice"] for r in report]
-    folded = f"fold-{table.status()['version'] + 1}"
-    rows = compact(table.read(slices), sum(r["bytes"] for r in report), file_bytes=file_bytes)
-    return table.replace(rows, slices, kind="compact", into=folded, as_of=as_of)
+    folded = f"fold-{now.version + 1}"
+    total = sum(r["bytes"] for r in report)
+    rows = compact(table.read(slices, snapshot=now), total, file_bytes=file_bytes)
+    return table.replace(rows, slices, kind="compact", into=folded, as_of=as_of, snapshot=now)
 
 
 def delete_expired(table: SlicedTable, hours: int, as_of: Column | None = None) -> list[str]:
     """Delete slice versions replaced longer ago than the retention allows."""
     old = expired(table.commits().filter("slice IS NOT NULL"), hours, as_of).filter("rows > 0")
-    folders = [table._folder(r["version"], r["slice"]) for r in old.select("version", "slice").collect()]
-    return [folder for folder in folders if _delete(table.spark, folder)]
-
-
-def _delete(spark: SparkSession, folder: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files.exists(path) and files.delete(path, True)
+    folders = [table.folder(r["version"], r["slice"]) for r in old.select("version", "slice").collect()]
+    return [folder for folder in folders if delete(table.spark, folder)]

@@ -33,7 +33,7 @@ def ingest(
     Returns the alerts of the run.
     """
     bronze, checkpoint = lake.bronze, lake.settings.checkpoint
-    before = bronze.status()["version"]
+    before = bronze.snapshot().version
 
     def store(batch: DataFrame, batch_id: int) -> None:
         name = f"{_query_id(lake, checkpoint)}-{batch_id}"
