@@ -55,8 +55,8 @@ def violations(rules: Iterable[Rule]) -> Column:
 
     Removing blanks instead of NULLs keeps the expression in generated code.
     """
-    fired = [F.when(F.expr(rule.violated), F.lit(rule.code)).otherwise(F.lit("")) for rule in rules]
-    return F.array_remove(F.array(*fired), "")
+    fired = [f"CASE WHEN {rule.violated} THEN '{rule.code}' ELSE '' END" for rule in rules]
+    return F.expr(f"array_remove(array({', '.join(fired)}), '')")
 
 
 def validate(events: DataFrame, entity: Entity, contract: Contract = Contract()) -> DataFrame:
@@ -124,13 +124,16 @@ def rejections(rejected_events: DataFrame, entity: Entity, as_of: Column | None
 
 def quality_counters(validated: DataFrame, *by: str) -> DataFrame:
     """All counts of a validation run in one pass, overall or per group."""
-    bad = F.size(VIOLATIONS) > 0
-    return validated.groupBy(*by).agg(
+    found = validated.select(
+        *by, F.size(VIOLATIONS).alias("_reasons"), was_rescued().alias("_rescued")
+    )
+    bad = F.col("_reasons") > 0
+    return found.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(bad).alias("bad_records"),
-        F.count_if(bad & was_rescued()).alias("rescued_records"),
+        F.count_if(bad & F.col("_rescued")).alias("rescued_records"),
         F.count_if(~bad).alias("clean_records"),
-        F.coalesce(F.sum(F.size(VIOLATIONS)), F.lit(0)).cast("bigint").alias("quarantine_rows"),
+        F.coalesce(F.sum("_reasons"), F.lit(0)).cast("bigint").alias("quarantine_rows"),
     )
 
 

@@ -57,7 +57,8 @@ def process_events(
     counts = quality_counters(validated).first().asDict()
 
     if counts["bad_records"]:
-        rows = rejections(rejected(validated), entity, as_of)
+        # few rows out of very many tasks: gather them into files of a sensible size
+        rows = rejections(rejected(validated), entity, as_of).hint("rebalance")
         rows.write.mode("overwrite").parquet(f"{lake.path(settings.quarantine)}/_batch={run_id}")
     if settings.production and counts["rescued_records"] > settings.max_rescued:
         raise TooManyRescued(

@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.operators.upsert import CHANGE, INSERTED, PREVIOUS_DATE, UPDATED
+from tidemark.session import delete
 
 COMMITS = (
     "version bigint, slice string, rows bigint, kind string, layout string, "
@@ -102,7 +103,8 @@ class SlicedTable:
         """One row per version and slice it replaced."""
         if not self.exists():
             return self.spark.createDataFrame([], COMMITS)
-        return self.spark.read.schema(COMMITS).parquet(self._log)
+        # folding the log may leave a row twice for a moment
+        return self.spark.read.schema(COMMITS).parquet(self._log).distinct()
 
     def snapshot(self) -> Snapshot:
         """The state after the newest commit: a row per slice, read in one go."""
@@ -194,13 +196,14 @@ class SlicedTable:
                 F.col("_slice").alias("slice")
             )
         # the count comes from the file footers
-        written = written.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
-        named = self.spark.createDataFrame([(s,) for s in slices], "slice string")
-        written = written.join(named, "slice", "full_outer")
-        commit = written.select(
+        counted = written.groupBy("slice").agg(F.count(F.lit(1)).alias("rows"))
+        if slices:
+            named = self.spark.createDataFrame([(s, 0) for s in slices], "slice string, rows bigint")
+            counted = counted.unionAll(named).groupBy("slice").agg(F.sum("rows").alias("rows"))
+        commit = counted.select(
             F.lit(version).cast("bigint").alias("version"),
             "slice",
-            F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+            "rows",
             F.lit(kind).alias("kind"),
             F.lit(self.layout).alias("layout"),
             (F.current_timestamp() if as_of is None else as_of).alias("created_at"),
@@ -218,9 +221,26 @@ class SlicedTable:
             F.count_if(F.col(CHANGE).isNull()).alias("untouched"),
         )
 
+    def fold_log(self, above: int) -> int:
+        """Put the files of the log together once there are more than ``above``.
+
+        The new file comes first and the old ones go afterwards, so that a
+        failure in between loses nothing.
+        """
+        if not self.exists():
+            return 0
+        log = self.spark.read.schema(COMMITS).parquet(self._log)
+        files = [r[0] for r in log.select("_metadata.file_path").distinct().collect()]
+        if len(files) <= above:
+            return 0
+        append(log.distinct().coalesce(1), self._log)
+        for file in files:
+            delete(self.spark, file)
+        return len(files)
+
     def mark_processed(self, source_version: int, as_of: Column | None = None) -> None:
         """Record that the source was read up to here although nothing came of it."""
-        nothing = self.spark.range(1).select(
+        nothing = self.spark.range(0, 1, 1, 1).select(
             F.lit(self.snapshot().version).cast("bigint").alias("version"),
             F.lit(None).cast("string").alias("slice"),
             F.lit(0).cast("bigint").alias("rows"),
@@ -229,7 +249,7 @@ class SlicedTable:
             (F.current_timestamp() if as_of is None else as_of).alias("created_at"),
             F.lit(source_version).cast("bigint").alias("source_version"),
         )
-        append(nothing.coalesce(1), self._log)
+        append(nothing, self._log)
 
     # -- inside ------------------------------------------------------------
 
