@@ -88,7 +88,7 @@ def main() -> None:
             state = q.merge(state, day(n))
         consume(state)
 
-    stored = merge_three()
+    stored = merge_three(broadcast_bytes=0)
     state = stored.silver.read()
     dates = state.select("order_date").distinct()
     gold.recompute(stored)
@@ -121,7 +121,7 @@ def main() -> None:
         "daily_metrics": lambda: consume(daily.daily_metrics(q.newest(clean()), ORDER_EVENTS, 2)),
         "silver_merge_whole_table": whole_table_merge,
         "silver_merge_sliced": lambda: merge_three(broadcast_bytes=0),
-        "silver_merge_small_batch": lambda: merge_three(broadcast_bytes=1 << 40),
+        "silver_merge_small_batch": lambda: merge_three(),
         "gold_refresh_one_date": gold_one_date,
         "gold_refresh_all_dates": lambda: consume(
             daily.refreshed_metrics(state, dates, ORDER_EVENTS, 2)

@@ -95,10 +95,22 @@ def merge(target: DataFrame, source: DataFrame, **options) -> DataFrame:
     return upsert.merge_newer(target, source, "orderId", wins, **options)
 
 
-def silver_after(spark, sf, day: int, **options) -> DataFrame:
+def silver_after(spark, sf, day: int) -> DataFrame:
     state = batch(spark, sf, 1)
     for n in range(2, day + 1):
-        state = merge(state, batch(spark, sf, n), **options)
+        state = merge(state, batch(spark, sf, n))
+    return state
+
+
+def silver_small_batches(spark, sf) -> DataFrame:
+    """The same merges, looking each batch up in place as long as it is small enough."""
+    valid = keep(clean(spark, sf), "clean")
+    state = None
+    for moment in DAYS:
+        arrived = keep(newest(valid.filter(F.col("ingest_timestamp") == at(moment))), "batch")
+        small = upsert.fits_broadcast(arrived)
+        merged = arrived if state is None else merge(state, arrived, source_is_small=small)
+        state = keep(merged.select(*STATE), "state")
     return state
 
 
@@ -277,7 +289,7 @@ def trusted_identifiers(spark, sf) -> DataFrame:
 
 
 def expired_versions(spark, sf) -> DataFrame:
-    commits = (
+    versions = (
         clean(spark, sf)
         .groupBy(
             F.dayofmonth("ingest_timestamp").cast("bigint").alias("version"),
@@ -286,7 +298,7 @@ def expired_versions(spark, sf) -> DataFrame:
         )
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    old = expired(commits, 180, at("2026-01-10 00:00:00"))
+    old = expired(versions, 180, at("2026-01-10 00:00:00"))
     return old.select("version", "slice", "rows", "created_at", "replaced_at")
 
 
@@ -356,7 +368,7 @@ def stored_silver(spark, sf, broadcast_bytes: int = 0, after_each=lambda lake, d
 
 def compacted(spark, sf) -> DataFrame:
     # the small-batch merge leaves new keys in files of their own
-    lake = stored_silver(spark, sf, broadcast_bytes=1 << 40)
+    lake = stored_silver(spark, sf, broadcast_bytes=upsert.BROADCAST_BYTES)
     compact_slices(lake.silver)
     return lake.silver.read().select(*STATE)
 
@@ -423,7 +435,7 @@ def _registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             ["eventVersion", "amount", "ingest_timestamp"],
         ).drop("ingest_timestamp"),
         "silver_merge": lambda s, d: silver_after(s, d, 3).select(*STATE),
-        "silver_merge_small_batch": lambda s, d: silver_after(s, d, 3, source_is_small=True).select(*STATE),
+        "silver_merge_small_batch": silver_small_batches,
         "silver_merge_cumulative": silver_cumulative,
         "silver_merge_changes": silver_changes,
         "silver_merge_evolved": silver_evolved,

@@ -366,14 +366,14 @@ def test_upkeep_folds_small_files_and_keeps_all_rows(spark, tmp_path):
     assert silver.process(lake).count() == 0
 
 
-def test_folding_the_log_keeps_its_meaning(spark, tmp_path):
+def test_folding_the_versions_keeps_their_meaning(spark, tmp_path):
     lake = lake_at(spark, tmp_path)
     for i in range(3):
         put(lake, events(spark, *DAY_TWO), f"n{i}")
-    before = rows_of(lake.bronze.commits(), "*")
-    assert lake.bronze.fold_log(above=5) == 0
-    assert lake.bronze.fold_log(above=2) == 3
-    assert rows_of(lake.bronze.commits(), "*") == before
+    before = rows_of(lake.bronze.versions(), "*")
+    assert lake.bronze.fold_versions(above=5) == 0
+    assert lake.bronze.fold_versions(above=2) == 3
+    assert rows_of(lake.bronze.versions(), "*") == before
     put(lake, events(spark, *DAY_TWO), "n3")
     assert lake.bronze.snapshot().version == 4 and lake.bronze.read().count() == 8
 

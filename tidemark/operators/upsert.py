@@ -5,10 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 CHANGE = "_change"
 PREVIOUS_DATE = "_previous_date"
 INSERTED, UPDATED = "insert", "update"
+# largest batch that is sent whole to every executor
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Upper bound of what a row of plain columns takes in memory."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+    fixed = 16 * len(df.columns) + 16
+    return sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(fixed))
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether all rows together stay within ``limit``; measures every one of them."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0] <= limit
 
 
 def supersedes(version: str, updated: str, source: str = "s", target: str = "t") -> Column:
@@ -40,7 +55,7 @@ def merge_newer(
     sides are stored by; joining on them too lets Spark reuse that layout.
     With ``track_date`` each changed row says how it changed and which date it had.
 
-    Both sides are shuffled once.  For a batch whose size was checked,
+    Both sides are shuffled once.  For a batch that ``fits_broadcast``,
     ``source_is_small`` leaves the target where it is: it looks the batch up in
     place, and only keys that found their match are compared again.
     """

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import optional_trusted_name, require_trusted_name
 from tidemark.operators.audit import stage_alerts, stage_audit_rows
+from tidemark.operators.upsert import BROADCAST_BYTES
 from tidemark.sources import tables
 from tidemark.sources.tables import SlicedTable
 from tidemark.spec import ORDER_EVENTS, Contract, Entity
@@ -45,7 +46,7 @@ class Settings:
     read: str = "new"
     slices: int = 64
     rows_per_task: int = 4_000_000
-    broadcast_bytes: int = 32 * 1024 * 1024
+    broadcast_bytes: int = BROADCAST_BYTES
 
     # gold: how affected dates are found ("changes", "exact", "ingest"),
     # how the table is sliced ("date", "month"), digits of exact sums

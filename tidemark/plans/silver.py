@@ -6,11 +6,18 @@ import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from tidemark.operators.contract import accepted, quality_counters, rejected, rejections, validate
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.upsert import CHANGE, INSERTED, PREVIOUS_DATE, merge_newer, supersedes
+from tidemark.operators.upsert import (
+    CHANGE,
+    INSERTED,
+    PREVIOUS_DATE,
+    merge_newer,
+    row_bytes,
+    supersedes,
+)
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch
 from tidemark.sources.tables import SlicedTable
@@ -111,7 +118,7 @@ def merge_batch(
         batch = lake.spark.read.schema(f"{entity.state_schema}, _slice string").parquet(folder)
         sizes = (
             batch.groupBy("_slice")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(batch)).alias("bytes"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(batch)).alias("bytes"))
             .collect()
         )
         touched = [r["_slice"] for r in sizes]
@@ -150,10 +157,3 @@ def merge_batch(
         return silver.replace(
             merged.drop("_part"), as_of=as_of, source_version=source_version, snapshot=now
         )
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Upper bound of what a row takes in memory."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
-    fixed = 16 * len(df.columns) + 16
-    return sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(fixed))

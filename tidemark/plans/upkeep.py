@@ -13,8 +13,8 @@ from tidemark.plans.lake import Lake
 from tidemark.sources import tables
 from tidemark.sources.upkeep import FILE_BYTES, compact_slices, delete_expired, fold_slices
 
-# commits per table after which their log is rewritten into one file
-LOG_FILES = 200
+# files of a versions table after which they are rewritten into one
+VERSION_FILES = 200
 
 
 def run(
@@ -44,7 +44,7 @@ def run(
             fold = fold_slices if name == settings.bronze else compact_slices
             fold(table, file_bytes, as_of)
             delete_expired(table, settings.retention_hours, as_of)
-            table.fold_log(above=LOG_FILES)
+            table.fold_versions(above=VERSION_FILES)
         except Exception as error:  # noqa: BLE001 - every failure belongs into the audit
             failures.append((name, type(error).__name__, str(error)))
 

@@ -1,9 +1,9 @@
 """Tables as folders of Parquet files.
 
-Small tables are appended to.  Large ones are kept in slices: every write puts
-whole new slices beside the old ones and then records them, so readers see either
-all of a write or nothing of it, and slices a batch does not touch are neither
-read nor written.
+Small tables are appended to.  Large ones are written in versions: a run puts its
+result into a new folder and then adds rows to a small table of versions; the next
+run reads the newest.  A version only holds the slices of the table that the run
+touched, so the others are neither read nor written.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidemark.operators.upsert import CHANGE, INSERTED, PREVIOUS_DATE, UPDATED
 from tidemark.session import delete
 
-COMMITS = (
+VERSIONS = (
     "version bigint, slice string, rows bigint, kind string, layout string, "
     "created_at timestamp, source_version bigint"
 )
@@ -92,23 +92,23 @@ class SlicedTable:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.slice_of, self.layout, self.sort_by = slice_of, layout, tuple(sort_by)
         self.tracks_changes = tracks_changes
-        self._data, self._log = f"{self.path}/data", f"{self.path}/commits"
+        self._data, self._versions = f"{self.path}/data", f"{self.path}/versions"
 
     # -- reading -----------------------------------------------------------
 
     def exists(self) -> bool:
-        return exists(self.spark, self._log)
+        return exists(self.spark, self._versions)
 
-    def commits(self) -> DataFrame:
+    def versions(self) -> DataFrame:
         """One row per version and slice it replaced."""
         if not self.exists():
-            return self.spark.createDataFrame([], COMMITS)
-        # folding the log may leave a row twice for a moment
-        return self.spark.read.schema(COMMITS).parquet(self._log).distinct()
+            return self.spark.createDataFrame([], VERSIONS)
+        # folding may leave a row twice for a moment
+        return self.spark.read.schema(VERSIONS).parquet(self._versions).distinct()
 
     def snapshot(self) -> Snapshot:
-        """The state after the newest commit: a row per slice, read in one go."""
-        newest = self.commits().groupBy("slice").agg(
+        """The newest version of each slice, read in one go."""
+        newest = self.versions().groupBy("slice").agg(
             F.max("version").alias("version"),
             F.max_by("rows", "version").alias("rows"),
             F.coalesce(F.max("source_version"), F.lit(0)).alias("source_version"),
@@ -143,7 +143,7 @@ class SlicedTable:
         expired.
         """
         later = (F.col("version") > version) & (F.col("kind") == kind) & (F.col("rows") > 0)
-        held = self.commits().filter(later).select("version", "slice").collect()
+        held = self.versions().filter(later).select("version", "slice").collect()
         try:
             return self._scan([self.folder(row["version"], row["slice"]) for row in held])
         except AnalysisException as error:
@@ -175,9 +175,9 @@ class SlicedTable:
         """Write ``rows`` as the new content of their slices.
 
         ``slices`` may name more: those without any row become empty.  Rows are
-        expected to be grouped by slice already, or all to go ``into`` one.  A write that fails half-way
-        leaves nothing but files no commit mentions, and the next one overwrites
-        them.
+        expected to be grouped by slice already, or all to go ``into`` one.  A write
+        that fails half-way leaves only a folder no version mentions; the next one
+        overwrites it.
         """
         version = (snapshot or self.snapshot()).version + 1
         folder = self.folder(version)
@@ -200,7 +200,7 @@ class SlicedTable:
         if slices:
             named = self.spark.createDataFrame([(s, 0) for s in slices], "slice string, rows bigint")
             counted = counted.unionAll(named).groupBy("slice").agg(F.sum("rows").alias("rows"))
-        commit = counted.select(
+        added = counted.select(
             F.lit(version).cast("bigint").alias("version"),
             "slice",
             "rows",
@@ -209,8 +209,8 @@ class SlicedTable:
             (F.current_timestamp() if as_of is None else as_of).alias("created_at"),
             F.lit(source_version).cast("bigint").alias("source_version"),
         )
-        # one file, so that the commit appears at once
-        append(commit.coalesce(1), self._log)
+        # one file, so that the version appears at once
+        append(added.coalesce(1), self._versions)
         return version
 
     def changes_of(self, version: int) -> DataFrame:
@@ -221,19 +221,19 @@ class SlicedTable:
             F.count_if(F.col(CHANGE).isNull()).alias("untouched"),
         )
 
-    def fold_log(self, above: int) -> int:
-        """Put the files of the log together once there are more than ``above``.
+    def fold_versions(self, above: int) -> int:
+        """Put the files of the versions table together once there are more than ``above``.
 
         The new file comes first and the old ones go afterwards, so that a
         failure in between loses nothing.
         """
         if not self.exists():
             return 0
-        log = self.spark.read.schema(COMMITS).parquet(self._log)
-        files = [r[0] for r in log.select("_metadata.file_path").distinct().collect()]
+        rows = self.spark.read.schema(VERSIONS).parquet(self._versions)
+        files = [r[0] for r in rows.select("_metadata.file_path").distinct().collect()]
         if len(files) <= above:
             return 0
-        append(log.distinct().coalesce(1), self._log)
+        append(rows.distinct().coalesce(1), self._versions)
         for file in files:
             delete(self.spark, file)
         return len(files)
@@ -249,7 +249,7 @@ class SlicedTable:
             (F.current_timestamp() if as_of is None else as_of).alias("created_at"),
             F.lit(source_version).cast("bigint").alias("source_version"),
         )
-        append(nothing, self._log)
+        append(nothing, self._versions)
 
     # -- inside ------------------------------------------------------------
 
@@ -268,17 +268,17 @@ class SlicedTable:
         return reader.parquet(*paths)
 
 
-def superseded(commits: DataFrame) -> DataFrame:
+def superseded(versions: DataFrame) -> DataFrame:
     """Each stored slice version with the time a newer one replaced it, if any."""
     following = Window.partitionBy("slice").orderBy("version")
-    return commits.withColumn("replaced_at", F.lead("created_at").over(following))
+    return versions.withColumn("replaced_at", F.lead("created_at").over(following))
 
 
-def expired(commits: DataFrame, hours: int, as_of: Column | None = None) -> DataFrame:
+def expired(versions: DataFrame, hours: int, as_of: Column | None = None) -> DataFrame:
     """Slice versions that were replaced more than ``hours`` ago."""
     now = F.current_timestamp() if as_of is None else as_of
     limit = now - F.make_dt_interval(hours=F.lit(hours))
-    return superseded(commits).filter(F.col("replaced_at") < limit)
+    return superseded(versions).filter(F.col("replaced_at") < limit)
 
 
 def file_sizes(df: DataFrame, *by: str) -> DataFrame:

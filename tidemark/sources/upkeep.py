@@ -57,6 +57,6 @@ def fold_slices(
 
 def delete_expired(table: SlicedTable, hours: int, as_of: Column | None = None) -> list[str]:
     """Delete slice versions replaced longer ago than the retention allows."""
-    old = expired(table.commits().filter("slice IS NOT NULL"), hours, as_of).filter("rows > 0")
+    old = expired(table.versions().filter("slice IS NOT NULL"), hours, as_of).filter("rows > 0")
     folders = [table.folder(r["version"], r["slice"]) for r in old.select("version", "slice").collect()]
     return [folder for folder in folders if delete(table.spark, folder)]

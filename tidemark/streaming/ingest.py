@@ -37,7 +37,7 @@ def ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         name = f"{_query_id(lake, checkpoint)}-{batch_id}"
-        known = bronze.commits().filter(F.col("slice") == name).limit(1).count()
+        known = bronze.versions().filter(F.col("slice") == name).limit(1).count()
         if not known:
             stamped = with_ingest_time(batch, lake.entity.mark, as_of)
             bronze.replace(stamped, kind="append", into=name, as_of=as_of)
@@ -54,7 +54,7 @@ def ingest(
     query.awaitTermination()
 
     added = (
-        bronze.commits()
+        bronze.versions()
         .filter((F.col("version") > before) & (F.col("kind") == "append"))
         .agg(F.coalesce(F.sum("rows"), F.lit(0)))
         .first()[0]
