@@ -128,8 +128,10 @@ def merge_batch(
         # a slice too large for one task is spread over several
         parts = math.ceil(most / settings.rows_per_task)
         part = F.pmod(F.xxhash64(entity.key, F.lit("part")), F.lit(parts))
-        # twice as many tasks as there is work, so that few get two pieces of it
-        tasks = 2 * len(touched) * parts
+        # twice as many tasks as pieces, so that few get two of them; fewer if they are small
+        rows = sum(r["rows"] for r in sizes) + sum(held.rows for held in old.values())
+        enough = max(lake.spark.sparkContext.defaultParallelism, 8 * rows // settings.rows_per_task)
+        tasks = min(2 * len(touched) * parts, enough)
 
         def spread(df: DataFrame) -> DataFrame:
             return df.withColumn("_part", part).repartition(tasks, "_slice", "_part")
