@@ -11,6 +11,9 @@ from tidemark.operators.shape import with_ingest_time
 from tidemark.plans.lake import Lake
 from tidemark.sources.json_files import json_stream, rescue_stream
 
+# Fixed value: audit detail of a stage whose input is not counted.
+NO_INPUT_COUNT = "inputUnavailable=streamingAutoLoader"
+
 
 def open_stream(lake: Lake, **options) -> DataFrame:
     settings = lake.settings
@@ -64,7 +67,7 @@ def ingest(
         "output_records": added,
         "rejected_records": 0,
         "rescued_records": 0,
-        "details": "inputUnavailable=streamingAutoLoader",
+        "details": NO_INPUT_COUNT,
         "alert_output": added,
     }
     return lake.write_stage_audit("bronze", counts, str(uuid.uuid4()), as_of)
