@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, token_counts
+from tidemark.llm import exact_dedup, mixing, simhash, token_counts
 from tidemark.llm.common import read
 
 
@@ -20,6 +20,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(read(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicate_report(read(spark, sf_dir, "documents"), shingle=4, bits=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
