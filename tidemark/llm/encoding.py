@@ -62,7 +62,7 @@ class Encoder:
         self.model = self.library.model
         self.signs = {ord(c): self._by_library(c) for c in map(chr, range(256)) if re.fullmatch(f"[{LETTERS}{MARKS}]", c)}
         self.blank, self.line = self._by_library(" "), self._whole("\n")
-        self.runs = _Pieces(self._run, limit)
+        self.runs = _Pieces(self._run, limit // 4)
         self.direct = all(self._plain(gap, word) == self._whole(gap + word) for word in PROBES for gap in ("", " "))
         as_bytes = lambda gap: lambda piece: array("I", self._ids(gap, piece)).tobytes()
         as_count = lambda gap: lambda piece: len(self._ids(gap, piece))
@@ -122,7 +122,7 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, limit: int = 300_000) -> Encoder:
+def encoder(path: str, limit: int = 800_000) -> Encoder:
     """This worker's encoder; its cache lives as long as the worker."""
     if (path, limit) not in _ENCODERS:
         _ENCODERS[path, limit] = Encoder(path, limit)

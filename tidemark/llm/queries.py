@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, simhash, token_counts
+from tidemark.llm import exact_dedup, mixing, packing, simhash, token_counts, wavelet
 from tidemark.llm.common import read
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_documents(read(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, ids=False)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(read(spark, sf_dir, "documents"), path, limit=512)
@@ -20,6 +25,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(read(spark, sf_dir, "documents"))
 
 
+def op7_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    found = wavelet.round_trip(read(spark, sf_dir, "documents"), path, end_id=2)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0)
 
