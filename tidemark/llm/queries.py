@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, simhash, token_counts, wavelet
+from tidemark.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity, wavelet
 from tidemark.llm.common import read
 
 
@@ -21,6 +21,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), path, limit=512)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_report(read(spark, sf_dir, "documents"))
 
