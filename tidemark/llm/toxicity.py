@@ -19,7 +19,7 @@ from tidemark.llm.common import texts, workers_import
 from tidemark.session import keep
 
 #: Bounds of training: labelled documents it may use, and words or beginnings of words a model may weigh.
-TRAIN_ROWS, FEATURES = 8_000, 640
+TRAIN_ROWS, FEATURES = 8_000, 1_536
 FOLDS, LEAST_DOCUMENTS = 5, 4
 PREFIXES = (4, 5, 6, 7)
 THRESHOLD = 0.3
@@ -59,31 +59,45 @@ class Chain:
         return found
 
 
-def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.5, steps: int = 8) -> np.ndarray:
-    """Bias and weights of a logistic regression: Newton steps on the features' own dimension or the rows'."""
+def _solve(times, b: np.ndarray, scale: np.ndarray, steps: int = 40) -> np.ndarray:
+    """Conjugate gradients for the symmetric map ``times``, scaled by its diagonal."""
+    x, r = np.zeros_like(b), b.copy()
+    d = z = r / scale
+    size = r @ z
+    for _ in range(steps):
+        if size < 1e-10:
+            break
+        td = times(d)
+        x, r = x + (size / (d @ td)) * d, r - (size / (d @ td)) * td
+        z = r / scale
+        size, before = r @ z, size
+        d = z + (size / before) * d
+    return x
+
+
+def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 0.5, steps: int = 10) -> np.ndarray:
+    """Bias and weights of a logistic regression, by Newton steps."""
     if y.min(initial=1) == y.max(initial=0):
         prior = np.clip(y.mean() if len(y) else 0.0, 1e-4, 1 - 1e-4)
         return np.concatenate([[np.log(prior / (1 - prior))], np.zeros(x.shape[1])])
-    x = np.column_stack([np.ones(len(x)), x])
-    ridge = np.full(x.shape[1], penalty)
+    x = np.column_stack([np.ones(len(x), np.float32), x.astype(np.float32)])
+    ridge = np.full(x.shape[1], penalty, np.float32)
     ridge[0] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1], np.float32)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - ridge * w
-        curve = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x
-        curve[np.diag_indices_from(curve)] += ridge
-        step = np.linalg.solve(curve, slope)
+        curve = np.maximum(p * (1 - p), 1e-6)
+        step = _solve(lambda v: x.T @ (curve * (x @ v)) + ridge * v, x.T @ (y.astype(np.float32) - p) - ridge * w, curve @ (x * x) + ridge)
         w += step * min(1.0, 8 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-5:
+        if np.abs(step).max() < 1e-4:
             break
-    return w
+    return w.astype(float)
 
 
 def fit_chain(held: list[list[int]], labels: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bias, feature weights and chain weights; ``labels`` has a column per category, in chain order."""
     rows, n = labels.shape
-    x = np.zeros((rows, n_features))
+    x = np.zeros((rows, n_features), np.float32)
     for i, at in enumerate(held):
         x[i, at] = 1.0
     fold = np.arange(rows) % FOLDS
