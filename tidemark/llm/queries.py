@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, simhash, token_counts, toxicity, wavelet
+from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, token_counts, toxicity, wavelet
 from tidemark.llm.common import read
 
 
@@ -39,6 +39,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3.0)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(read(spark, sf_dir, "documents"), shingle=4, bits=4)
 
