@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, token_counts, toxicity, wavelet
+from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, surrogates, token_counts, toxicity, wavelet
 from tidemark.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, ids=False)
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.surrogate_report(read(spark, sf_dir, "documents"), key="tidemark")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(read(spark, sf_dir, "documents"), path, limit=512)
