@@ -9,5 +9,22 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+_OP1 = """
+WITH usable AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum([q.v[i] * c.v[i] for i in range(1, len(c.v) + 1)])::BIGINT AS score
+    FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op6_exact_dedup": _OP6}
+    return {"op1_threshold_top_k": _OP1, "op6_exact_dedup": _OP6}

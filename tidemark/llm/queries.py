@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, surrogates, token_counts, toxicity, wavelet
+from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, surrogates, token_counts, topk, toxicity, wavelet
 from tidemark.llm.common import read
 
 
+def op1_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed_documents(read(spark, sf_dir, "documents"), path, capacity=2048, end_id=0, ids=False)
