@@ -73,7 +73,7 @@ def main() -> None:
 
     def new_lake(**changes) -> Lake:
         root = str(work / f"lake{next(lakes)}")
-        base = {"slices": 16, "gold_slices": "month", "exact_digits": 2, "checkpoint": f"{root}/checkpoint"}
+        base = {"slices": 16, "gold_slices": "month", "checkpoint": f"{root}/checkpoint"}
         return Lake(spark, Settings(root, **{**base, **changes}))
 
     def merge_three(**changes) -> Lake:

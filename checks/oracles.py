@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from checks.inputs import ORDER_EVENTS_SQL
+from tidemark.functions.names import REFUSED
 from tidemark.spec import ORDER_RULES, TIME_FORMATS
 
 _STRPTIME = {
@@ -25,11 +26,11 @@ _TIMES = f"""
 
 # predicates per reason; the two flags of the strict contract are {strict}
 _FIRES = {
-    "MISSING_ORDER_ID": "orderId IS NULL OR trim(orderId) = ''",
-    "MISSING_CUSTOMER_ID": "customerId IS NULL OR trim(customerId) = ''",
+    "MISSING_ORDER_ID": "coalesce(length(orderId), 0) = 0",
+    "MISSING_CUSTOMER_ID": "coalesce(length(customerId), 0) = 0",
     "MISSING_AMOUNT": "amount IS NULL",
-    "NON_POSITIVE_AMOUNT": "amount <= 0",
-    "MISSING_TIMESTAMP": "\"timestamp\" IS NULL OR trim(\"timestamp\") = ''",
+    "NON_POSITIVE_AMOUNT": "NOT amount > 0",
+    "MISSING_TIMESTAMP": 'coalesce(length("timestamp"), 0) = 0',
     "INVALID_TIMESTAMP": '"timestamp" IS NOT NULL AND parsed_timestamp IS NULL',
     "MISSING_UPDATED_AT": "{strict} AND updatedAt IS NULL",
     "INVALID_UPDATED_AT": "updatedAt IS NOT NULL AND parsed_updated_at IS NULL",
@@ -68,9 +69,9 @@ def _latest(rows: str, where: str = "TRUE", lead: str = "updated_at DESC NULLS L
     FROM {rows} WHERE {where}) WHERE place = 1"""
 
 
-_NEWER = """(s.event_version IS NOT NULL AND (t.event_version IS NULL OR s.event_version > t.event_version
-      OR (s.event_version = t.event_version AND s.updated_at > t.updated_at)))
-      OR (s.event_version IS NULL AND s.updated_at > t.updated_at)"""
+# a later update decides between equal versions and for events without one; else the version does
+_NEWER = """CASE WHEN s.event_version IS NULL OR s.event_version = t.event_version THEN s.updated_at > t.updated_at
+      ELSE s.event_version > coalesce(t.event_version, -1) END"""
 
 
 def _merge(target: str, source: str) -> str:
@@ -82,7 +83,12 @@ def _merge(target: str, source: str) -> str:
   WHERE s.orderId IS NULL OR NOT coalesce({_NEWER}, FALSE)"""
 
 
-_SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
+# the last digits of a sum of doubles depend on the order of adding
+def _steady(total: str) -> str:
+    return f"CASE WHEN abs({total}) < 1e12 THEN round({total}, 4) ELSE {total} END"
+
+
+_SUM = _steady("sum(amount)")
 
 
 def _daily(state: str, as_of: str | None = None, mark: bool = True) -> str:
@@ -105,10 +111,11 @@ def _affected(state: str, gold: str) -> str:
 def _affected_exact(state: str, gold: str) -> str:
     return f"""
   SELECT coalesce(s.order_date, g.order_date) AS order_date FROM
-    (SELECT order_date, max(ingest_timestamp) AS m, count(orderId) AS n FROM {state} GROUP BY order_date) s
+    (SELECT order_date, max(ingest_timestamp) AS m, count(orderId) AS n, {_SUM} AS total FROM {state} GROUP BY order_date) s
     FULL OUTER JOIN {gold} g ON s.order_date = g.order_date
   WHERE s.order_date IS NULL OR g.order_date IS NULL
-     OR s.m IS DISTINCT FROM g.source_max_ingest_timestamp OR s.n IS DISTINCT FROM g.totalOrders"""
+     OR s.m IS DISTINCT FROM g.source_max_ingest_timestamp OR s.n IS DISTINCT FROM g.totalOrders
+     OR s.total IS DISTINCT FROM g.totalRevenue"""
 
 
 _AS_OF = ("2026-01-01 01:00:00", "2026-01-02 01:00:00", "2026-01-03 01:00:00")
@@ -161,7 +168,7 @@ _UPKEEP = f"""
          TRUE AS retention_policy_risk, CAST(72 AS INTEGER) AS vacuum_retention_hours, TRUE AS audit_replay_required,
          CAST(24 AS INTEGER) AS slow_downstream_max_lag_hours,
          CASE WHEN t.refused THEN 'IllegalArgumentException' WHEN f.name IS NOT NULL THEN f.error_class END AS error_class,
-         CASE WHEN t.refused THEN 'maintenanceTable must be a trusted table identifier with 1 to 3 dot-separated parts using only letters, digits, and underscores: ' || t.table_name
+         CASE WHEN t.refused THEN 'maintenanceTable{REFUSED}' || t.table_name
               WHEN f.name IS NOT NULL THEN f.message WHEN NOT t.known THEN 'Table does not exist' END AS error_message
   FROM (SELECT 'lake.sales.customer_' || CAST(c_custkey AS VARCHAR) AS table_name, FALSE AS refused,
                c_mktsegment <> 'BUILDING' AS known FROM customer
@@ -201,6 +208,14 @@ CTES = {
     "g2": _refresh("g1", "s2", "d2", _AS_OF[1]),
     "d3": _affected("s3", "g2"),
     "g3": _refresh("g2", "s3", "d3", _AS_OF[2]),
+    "gs2": _daily("s2", _AS_OF[1]),
+    "ds3": _affected("s3", "gs2"),
+    "gl3": _refresh("gs2", "s3", "ds3", _AS_OF[2]),
+    "e1": (
+        'SELECT orderId, customerId, amount, "timestamp", ingest_timestamp, '
+        'coalesce("timestamp", ingest_timestamp) AS updated_at, CAST(NULL AS BIGINT) AS event_version, order_date FROM b1'
+    ),
+    "e2": _merge("e1", "b2"),
     "monthly": _MONTHLY,
     "upkeep": _UPKEEP,
 }
@@ -273,24 +288,20 @@ def oracles() -> dict[str, str]:
          s.order_date, t.order_date AS previous_date
   FROM b3 s LEFT JOIN s2 t ON s.orderId = t.orderId
   WHERE t.orderId IS NULL OR coalesce({_NEWER}, FALSE)""",
-        "silver_merge_evolved": _merge(
-            '(SELECT orderId, customerId, amount, "timestamp", ingest_timestamp, '
-            'coalesce("timestamp", ingest_timestamp) AS updated_at, CAST(NULL AS BIGINT) AS event_version, order_date FROM b1)',
-            "b2",
-        ),
+        "silver_merge_evolved": _merge("e2", "b3"),
         "daily_metrics": _daily("latest", mark=False),
         "gold_metrics": _daily("latest", _AS_OF[0]),
         "date_high_water": (
             "SELECT order_date, max(ingest_timestamp) AS source_max_ingest_timestamp FROM latest GROUP BY order_date"
         ),
         "gold_mv": _daily("s3"),
-        "affected_dates": _affected("s2", "g1"),
-        "affected_dates_exact": _affected_exact("s2", "g1"),
-        "affected_silver": f"SELECT {_STATE} FROM s2 WHERE order_date IN (SELECT order_date FROM d2)",
-        "gold_full_refresh": "SELECT DISTINCT order_date FROM s2",
-        "gold_merge": "SELECT * FROM g2",
+        "affected_dates": _affected("s3", "gs2"),
+        "affected_dates_exact": _affected_exact("s3", "gs2"),
+        "affected_silver": f"SELECT {_STATE} FROM s3 WHERE order_date IN (SELECT order_date FROM ds3)",
+        "gold_full_refresh": "SELECT DISTINCT order_date FROM s3",
+        "gold_merge": "SELECT * FROM g3",
         "gold_merge_legacy_key": (
-            'SELECT order_date AS "timestamp", totalOrders, totalRevenue, source_max_ingest_timestamp FROM g2'
+            'SELECT order_date AS "timestamp", totalOrders, totalRevenue, source_max_ingest_timestamp FROM gl3'
         ),
         "gold_incremental": "SELECT * FROM g3",
         "gold_incremental_exact": _daily("s3"),
@@ -368,7 +379,7 @@ def oracles() -> dict[str, str]:
     FROM events) WHERE place = 1""",
         "events_daily": (
             "SELECT CAST(ts AS DATE) AS event_date, count(event_id) AS events, "
-            "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value FROM events GROUP BY 1"
+            f"{_steady('sum(value)')} AS total_value FROM events GROUP BY 1"
         ),
         "stream_ingest_json": (
             "SELECT CASE WHEN _corrupt_record IS NULL THEN orderId END AS orderId, "
@@ -391,6 +402,28 @@ def oracles() -> dict[str, str]:
         "stream_silver": f"SELECT {_STATE} FROM s3",
         "silver_table": f"SELECT {_STATE} FROM s3",
         "compaction": f"SELECT {_STATE} FROM s3",
+        "stream_ingest_arrays": (
+            'SELECT orderId, customerId, amount, "timestamp", updatedAt, eventVersion FROM raw WHERE _corrupt_record IS NULL'
+        ),
+        "gold_recomputed": _daily("s3", _AS_OF[2]),
+        "merge_counts": " UNION ALL ".join(
+            f"SELECT {day} AS day, count(*) FILTER (WHERE t.orderId IS NULL) AS inserted, "
+            f"count(*) FILTER (WHERE t.orderId IS NOT NULL AND coalesce({_NEWER}, FALSE)) AS updated "
+            f"FROM b{day} s LEFT JOIN {before} t ON s.orderId = t.orderId"
+            for day, before in ((1, "(SELECT * FROM b1 WHERE FALSE)"), (2, "b1"), (3, "s2"))
+        ),
+        "append_twice": f"SELECT {_STATE} FROM clean",
+        "clean_orders_without_optional": """
+  SELECT orderId, customerId, amount, parsed_timestamp AS "timestamp", ingest_timestamp, parsed_timestamp AS updated_at,
+         CAST(NULL AS BIGINT) AS event_version, CAST(parsed_timestamp AS DATE) AS order_date
+  FROM times WHERE orderId <> '' AND customerId <> '' AND amount > 0 AND parsed_timestamp IS NOT NULL""",
+        "breaker_quarantine": "SELECT *, FALSE AS merged FROM quarantine",
+        "daily_metrics_extremes": f"""
+  SELECT order_date, count(orderId) AS totalOrders, {_SUM} AS totalRevenue FROM (
+    SELECT orderId, order_date, CASE WHEN day(order_date) = 1 THEN 0.004::DOUBLE
+        WHEN day(order_date) = 2 AND length(orderId) = 3 THEN 'NaN'::DOUBLE
+        WHEN day(order_date) = 3 THEN 144115188075855872::DOUBLE * length(orderId) ELSE amount END AS amount
+    FROM latest) GROUP BY order_date""",
     }
     for code, predicate in _FIRES.items():
         out[f"rule_{code.lower()}"] = (

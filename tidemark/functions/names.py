@@ -8,6 +8,8 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: one to three dot-separated identifiers.
 TRUSTED_NAME = r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*){0,2}"
+UNSET = " names no table"
+REFUSED = " is not a trusted table identifier (up to three plain words joined by dots): "
 
 
 def is_trusted_name(name: Column) -> Column:
@@ -17,30 +19,15 @@ def is_trusted_name(name: Column) -> Column:
 def untrusted_name_message(name: Column, setting: str) -> Column:
     """Why a name is refused; NULL when it is fine."""
     blank = F.coalesce(F.trim(name), F.lit("")) == ""
-    return (
-        F.when(blank, F.lit(f"{setting} must be configured with a trusted table name."))
-        .when(
-            ~is_trusted_name(name),
-            F.concat(
-                F.lit(
-                    f"{setting} must be a trusted table identifier with 1 to 3 dot-separated "
-                    "parts using only letters, digits, and underscores: "
-                ),
-                name,
-            ),
-        )
-    )
+    return F.when(blank, F.lit(f"{setting}{UNSET}")).when(~is_trusted_name(name), F.concat(F.lit(f"{setting}{REFUSED}"), name))
 
 
 def require_trusted_name(name: str | None, setting: str) -> str:
     stripped = (name or "").strip(" ")
     if not stripped:
-        raise ValueError(f"{setting} must be configured with a trusted table name.")
+        raise ValueError(f"{setting}{UNSET}")
     if not re.fullmatch(TRUSTED_NAME, stripped):
-        raise ValueError(
-            f"{setting} must be a trusted table identifier with 1 to 3 dot-separated "
-            f"parts using only letters, digits, and underscores: {name}"
-        )
+        raise ValueError(f"{setting}{REFUSED}{name}")
     return stripped
 
 

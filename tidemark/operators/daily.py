@@ -8,43 +8,34 @@ from tidemark.operators.shape import derive_date
 from tidemark.spec import Entity
 
 
-def daily_metrics(state: DataFrame, entity: Entity, exact_digits: int | None = None) -> DataFrame:
+def daily_metrics(state: DataFrame, entity: Entity) -> DataFrame:
     """Count and sum per date.
 
-    ``exact_digits`` sums as decimals with that many digits after the point, so
-    the total does not depend on the order in which Spark adds the parts.
+    Amounts are summed as they are: small ones count, and a NaN makes its date's sum NaN.
     """
     dated = derive_date(state, entity.date, entity.event_time)
-    return dated.groupBy(entity.date).agg(*_count_and_sum(entity, exact_digits))
+    return dated.groupBy(entity.date).agg(*_count_and_sum(entity))
 
 
 def daily_metrics_with_mark(
-    state: DataFrame,
-    entity: Entity,
-    exact_digits: int | None = None,
-    as_of: Column | None = None,
+    state: DataFrame, entity: Entity, as_of: Column | None = None
 ) -> DataFrame:
     """Daily metrics with the newest ingest time they contain."""
     dated = derive_date(state, entity.date, entity.event_time)
     return (
         dated.groupBy(entity.date)
-        .agg(*_count_and_sum(entity, exact_digits), F.max(entity.mark).alias(entity.mark_as))
+        .agg(*_count_and_sum(entity), F.max(entity.mark).alias(entity.mark_as))
         .withColumn(entity.refreshed_as, F.current_timestamp() if as_of is None else as_of)
     )
 
 
-def daily_view(
-    spark: SparkSession, state: DataFrame, entity: Entity, exact_digits: int | None = None
-) -> DataFrame:
+def daily_view(spark: SparkSession, state: DataFrame, entity: Entity) -> DataFrame:
     """The same metrics over the whole table, as one SQL query."""
-    amount = f"`{entity.measure}`"
-    if exact_digits is not None:
-        amount = f"CAST({amount} AS DECIMAL(18, {exact_digits}))"
     return spark.sql(
         f"""
         SELECT `{entity.date}`,
                COUNT(`{entity.key}`) AS `{entity.count_as}`,
-               CAST(SUM({amount}) AS DOUBLE) AS `{entity.sum_as}`,
+               SUM(`{entity.measure}`) AS `{entity.sum_as}`,
                MAX(`{entity.mark}`) AS `{entity.mark_as}`,
                CURRENT_TIMESTAMP() AS `{entity.refreshed_as}`
         FROM {{state}}
@@ -54,13 +45,10 @@ def daily_view(
     )
 
 
-def _count_and_sum(entity: Entity, exact_digits: int | None) -> list[Column]:
-    amount = F.col(entity.measure)
-    if exact_digits is not None:
-        amount = amount.cast(f"decimal(18,{exact_digits})")
+def _count_and_sum(entity: Entity) -> list[Column]:
     return [
         F.count(entity.key).alias(entity.count_as),
-        F.sum(amount).cast("double").alias(entity.sum_as),
+        F.sum(entity.measure).alias(entity.sum_as),
     ]
 
 
@@ -77,7 +65,8 @@ def affected_dates(
     ``ingest``  new dates, and dates that hold something ingested later than
                 their metrics know.
     ``exact``   also dates that lost rows to another date, down to the last one:
-                any difference in mark or count, in either direction.
+                any difference in mark, count or sum, in either direction.  Sums are
+                compared to nine digits, as their last ones depend on the order of adding.
 
     Without earlier metrics, or without their mark, every date is affected.
     """
@@ -99,20 +88,21 @@ def affected_dates(
         raise ValueError(f"unknown way to detect affected dates: {detect}")
 
     dated = derive_date(state, date, entity.event_time)
-    now = dated.groupBy(date).agg(
-        F.max(entity.mark).alias(mark), F.count(entity.key).alias(count)
-    )
-    same = (
-        F.col(f"now.{date}").eqNullSafe(F.col(f"then.{date}"))
+    now = dated.groupBy(date).agg(*_count_and_sum(entity), F.max(entity.mark).alias(mark))
+    same = F.col(f"now.{date}").eqNullSafe(F.col(f"then.{date}"))
+    before, after = F.col(f"then.{entity.sum_as}"), F.col(f"now.{entity.sum_as}")
+    same_sum = before.eqNullSafe(after) | F.coalesce(
+        F.abs(after - before) <= 1e-9 * F.greatest(F.abs(after), F.abs(before)), F.lit(False)
     )
     differs = (
         F.col("now._seen").isNull()
         | F.col("then._seen").isNull()
         | ~F.col(f"now.{mark}").eqNullSafe(F.col(f"then.{mark}"))
         | ~F.col(f"now.{count}").eqNullSafe(F.col(f"then.{count}"))
+        | ~same_sum
     )
     now = now.withColumn("_seen", F.lit(True)).alias("now")
-    then = daily.select(date, mark, count).withColumn("_seen", F.lit(True)).alias("then")
+    then = daily.select(date, mark, count, entity.sum_as).withColumn("_seen", F.lit(True)).alias("then")
     return (
         now.join(then, same, "full_outer")
         .filter(differs)
@@ -134,7 +124,6 @@ def refreshed_metrics(
     state: DataFrame,
     dates: DataFrame,
     entity: Entity,
-    exact_digits: int | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
     """Metrics of the given dates only.
@@ -143,7 +132,7 @@ def refreshed_metrics(
     sum when it can broadcast the dates, and otherwise joins a row per date
     instead of moving every order of a heavy date to one task.
     """
-    metrics = daily_metrics_with_mark(state, entity, exact_digits, as_of)
+    metrics = daily_metrics_with_mark(state, entity, as_of)
     return metrics.join(dates, entity.date, "left_semi")
 
 
@@ -153,14 +142,13 @@ def refresh(
     dates: DataFrame,
     entity: Entity,
     drop_empty: bool = False,
-    exact_digits: int | None = None,
     as_of: Column | None = None,
 ) -> DataFrame:
     """The whole metrics table after recomputing ``dates``.
 
     ``drop_empty`` removes affected dates that no longer have any row.
     """
-    fresh = refreshed_metrics(state, dates, entity, exact_digits, as_of)
+    fresh = refreshed_metrics(state, dates, entity, as_of)
     if daily is None:
         return fresh
     outdated = dates if drop_empty else fresh.select(entity.date)

@@ -11,9 +11,6 @@ from tidemark.plans.lake import Lake
 from tidemark.session import scratch
 from tidemark.sources.tables import HistoryExpired, Snapshot
 
-# longest list of dates that is worth handing to the file reader one by one
-_LISTED_DATES = 500
-
 
 def find_affected(lake: Lake, state: DataFrame, made: Snapshot) -> DataFrame:
     """Dates to compute again.
@@ -29,12 +26,15 @@ def find_affected(lake: Lake, state: DataFrame, made: Snapshot) -> DataFrame:
             return lake.silver.changed_dates(entity.date, made.source_version)
         except HistoryExpired:
             detect = "exact"
-    return affected_dates(state, lake.gold.read(snapshot=made), entity, detect)
+    metrics = lake.gold.read(snapshot=made)
+    if not metrics.filter(F.col(entity.mark_as).isNotNull()).limit(1).count():
+        metrics = None  # metrics from before marks were kept
+    return affected_dates(state, metrics, entity, detect)
 
 
 def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
     """Recompute the affected dates.  Returns the alerts, or None if there were none to do."""
-    settings, entity = lake.settings, lake.entity
+    entity = lake.entity
     silver, gold, date = lake.silver, lake.gold, entity.date
     source, made = silver.snapshot(), gold.snapshot()
     state = silver.read(snapshot=source)
@@ -58,9 +58,7 @@ def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
         # the keyed table is sorted by date within each file: this skips row groups
         if span["n"] == span["known"]:
             state = state.filter(F.col(date).between(span["first"], span["last"]))
-            if span["n"] <= _LISTED_DATES:
-                state = state.filter(F.col(date).isin([r[0] for r in dates.collect()]))
-        fresh = refreshed_metrics(state, dates, entity, settings.exact_digits, as_of)
+        fresh = refreshed_metrics(state, dates, entity, as_of)
 
         old = gold.read(span["slices"], snapshot=made).join(dates, date, "left_anti")
         version = gold.replace(
@@ -94,7 +92,7 @@ def recompute(lake: Lake, as_of: Column | None = None) -> int:
     """All dates from the whole keyed table, replacing everything."""
     gold, source, made = lake.gold, lake.silver.snapshot(), lake.gold.snapshot()
     state = lake.silver.read(snapshot=source)
-    rows = daily_metrics_with_mark(state, lake.entity, lake.settings.exact_digits, as_of)
+    rows = daily_metrics_with_mark(state, lake.entity, as_of)
     return gold.replace(
         gold.with_slice(rows).repartition("_slice"),
         made.slices,

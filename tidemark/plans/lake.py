@@ -29,9 +29,10 @@ class Settings:
     stage_audit: str = ""
     upkeep_audit: str = ""
 
-    # ingest: "json" or "cloudfiles" (keeps whatever does not fit the schema)
-    mode: str = "cloudfiles"
-    layout: str = "auto"
+    # ingest: "json" or "rescue" (keeps whatever does not fit the schema); layout "lines" splits
+    # files between tasks, "auto" reads each file whole and also takes files that hold an array
+    mode: str = "rescue"
+    layout: str = "lines"
     multi_line: bool = True
 
     # contract; unset requirements follow the production flag
@@ -49,10 +50,9 @@ class Settings:
     broadcast_bytes: int = BROADCAST_BYTES
 
     # gold: how affected dates are found ("changes", "exact", "ingest"),
-    # how the table is sliced ("date", "month"), digits of exact sums
+    # how the table is sliced ("date", "month")
     detect: str = "changes"
     gold_slices: str = "date"
-    exact_digits: int | None = None
 
     alert_on_anomaly: bool = True
     min_output_ratio: float = 0.1

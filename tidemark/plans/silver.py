@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.contract import accepted, quality_counters, rejected, rejections, validate
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.shape import evolve_state
 from tidemark.operators.upsert import (
     CHANGE,
     INSERTED,
@@ -20,7 +21,7 @@ from tidemark.operators.upsert import (
 )
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch
-from tidemark.sources.tables import SlicedTable
+from tidemark.sources.tables import HistoryExpired, SlicedTable
 
 
 _NOTHING = {
@@ -48,9 +49,13 @@ def process(lake: Lake, as_of: Column | None = None) -> DataFrame:
     if lake.settings.read == "all":
         events, run_id = bronze.read(snapshot=arrived), str(uuid.uuid4())
     elif seen < arrived.version:
-        events = bronze.written_since(seen, "append").drop("_version", "_slice")
         # a repeated run covers the same rows and replaces its own quarantine
         run_id = f"after-{seen}"
+        try:
+            events = bronze.written_since(seen, "append").drop("_version", "_slice")
+        except HistoryExpired:
+            # single appends are gone, but all their rows are in what they were folded into
+            events = bronze.read(snapshot=arrived)
     else:
         return lake.write_stage_audit("silver", _NOTHING, str(uuid.uuid4()), as_of)
     return process_events(lake, events, run_id, arrived.version, as_of)
@@ -69,8 +74,8 @@ def process_events(
         rows.write.mode("overwrite").parquet(f"{lake.path(settings.quarantine)}/_batch={run_id}")
     if settings.production and counts["rescued_records"] > settings.max_rescued:
         raise TooManyRescued(
-            f"Rescued/corrupt records ({counts['rescued_records']}) exceeded "
-            f"threshold ({settings.max_rescued})."
+            f"{counts['rescued_records']} records could not be read in full, more than the {settings.max_rescued} "
+            "allowed; they are in quarantine and nothing was merged"
         )
 
     silver, inserted, details = lake.silver, 0, ""
@@ -141,7 +146,11 @@ def merge_batch(
                 {CHANGE: F.lit(INSERTED), PREVIOUS_DATE: F.lit(None).cast("date")}
             )
         else:
-            target = silver.read(old, with_slice=True, snapshot=now)
+            # a table from before versions were kept: its rows count as updated when they happened
+            target = evolve_state(
+                silver.read(old, with_slice=True, snapshot=now),
+                entity.updated_as, entity.version_as, entity.event_time, entity.mark,
+            )
             small = sum(r["bytes"] for r in sizes) <= settings.broadcast_bytes
             if small:
                 batch = batch.repartition("_slice")

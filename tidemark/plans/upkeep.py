@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.names import is_trusted_name
-from tidemark.operators.audit import upkeep_audit_rows
+from tidemark.operators.audit import upkeep_alerts, upkeep_audit_rows
 from tidemark.plans.lake import Lake
 from tidemark.sources import tables
-from tidemark.sources.upkeep import FILE_BYTES, compact_slices, delete_expired, fold_slices
+from tidemark.sources.upkeep import FILE_BYTES, compact_slices, delete_expired, fold_plain, fold_slices
+
+_LOG = logging.getLogger(__name__)
 
 # files of a versions table after which they are rewritten into one
 VERSION_FILES = 200
@@ -23,14 +26,16 @@ def run(
     file_bytes: int = FILE_BYTES,
     as_of: Column | None = None,
 ) -> DataFrame:
-    """Upkeep of the named tables, by default all three.  Returns the audit rows.
+    """Upkeep of the named tables, by default all of the lake.  Returns the audit rows.
 
-    A table that fails does not keep the others from being looked after.
+    A table that fails does not keep the others from being looked after.  Its alerts, at most one of a
+    kind, are logged as warnings where the settings ask for it.
     """
     settings, spark = lake.settings, lake.spark
     as_of = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
     known = {settings.bronze: lake.bronze, settings.silver: lake.silver, settings.gold: lake.gold}
-    names = names or tuple(known)
+    plain = (settings.quarantine, settings.stage_audit, settings.upkeep_audit)
+    names = names or (*known, *(n for n in plain if n))
     targets = spark.createDataFrame([(n,) for n in names], "table_name string")
     usable = targets.filter(is_trusted_name(F.col("table_name"))).select(F.trim("table_name"))
 
@@ -38,7 +43,13 @@ def run(
     for (name,) in usable.collect():
         try:
             table = known.get(name)
-            if table is None or not table.exists():
+            if table is None:
+                path = lake.path(name)
+                if tables.exists(spark, path):
+                    present.append((name,))
+                    fold_plain(spark, path, file_bytes, "_batch" if name == settings.quarantine else None)
+                continue
+            if not table.exists():
                 continue
             present.append((name,))
             fold = fold_slices if name == settings.bronze else compact_slices
@@ -60,4 +71,7 @@ def run(
     )
     if settings.upkeep_audit:
         tables.append(audit.coalesce(1), lake.path(settings.upkeep_audit))
+    if settings.alert_on_upkeep_failure:
+        for alert in upkeep_alerts(audit).collect():
+            _LOG.warning("table upkeep: %s", alert.asDict())
     return audit

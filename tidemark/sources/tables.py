@@ -182,7 +182,8 @@ class SlicedTable:
         version = (snapshot or self.snapshot()).version + 1
         folder = self.folder(version)
         if into is not None:
-            rows.write.mode("overwrite").parquet(self.folder(version, into))
+            # static: whatever a dead attempt left under this version goes
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.folder(version, into))
             written = self.spark.read.parquet(self.folder(version, into)).select(
                 F.lit(into).alias("slice")
             )
@@ -191,7 +192,8 @@ class SlicedTable:
                 rows = self.with_slice(rows)
             if self.sort_by:
                 rows = rows.sortWithinPartitions("_slice", *self.sort_by)
-            rows.write.mode("overwrite").partitionBy("_slice").parquet(folder)
+            overwrite = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            overwrite.partitionBy("_slice").parquet(folder)
             written = self.spark.read.schema("_slice string").parquet(folder).select(
                 F.col("_slice").alias("slice")
             )
@@ -230,7 +232,7 @@ class SlicedTable:
         if not self.exists():
             return 0
         rows = self.spark.read.schema(VERSIONS).parquet(self._versions)
-        files = [r[0] for r in rows.select("_metadata.file_path").distinct().collect()]
+        files = [r[0] for r in file_sizes(self.spark, self._versions).select("path").collect()]
         if len(files) <= above:
             return 0
         append(rows.distinct().coalesce(1), self._versions)
@@ -257,6 +259,28 @@ class SlicedTable:
         tracked = f", {CHANGE} string, {PREVIOUS_DATE} date" if self.tracks_changes else ""
         return f"{self.schema}{tracked}, _version bigint, _slice string"
 
+    def slice_sizes(self, snapshot: Snapshot) -> DataFrame:
+        """``_slice, files, bytes`` of the newest version of each slice."""
+        folders = [self.folder(held.version, s) for s, held in snapshot.slices.items()]
+        if not folders:
+            return self.spark.createDataFrame([], "_slice string, files bigint, bytes bigint")
+        name = F.url_decode(F.regexp_extract("path", "/_slice=([^/]+)/", 1)).alias("_slice")
+        files = file_sizes(self.spark, *folders).groupBy(name)
+        return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+    def forget(self, gone: list[tuple[int, str]]) -> None:
+        """Rewrite the table of versions without these slice versions, whose files are deleted.
+
+        The new file comes first and the old ones go afterwards; a failure in
+        between keeps rows, never loses one.  So the table holds what is live and what is retained.
+        """
+        named = self.spark.createDataFrame(gone, "version bigint, slice string")
+        rows = self.spark.read.schema(VERSIONS).parquet(self._versions)
+        files = [r[0] for r in file_sizes(self.spark, self._versions).select("path").collect()]
+        append(rows.join(named, ["version", "slice"], "left_anti").select(*rows.columns).distinct().coalesce(1), self._versions)
+        for file in files:
+            delete(self.spark, file)
+
     def folder(self, version: int, name: str | None = None) -> str:
         folder = f"{self._data}/_version={version}"
         return folder if name is None else f"{folder}/_slice={name}"
@@ -281,22 +305,7 @@ def expired(versions: DataFrame, hours: int, as_of: Column | None = None) -> Dat
     return superseded(versions).filter(F.col("replaced_at") < limit)
 
 
-def file_sizes(df: DataFrame, *by: str) -> DataFrame:
-    """Size and number of rows of every file behind ``df``."""
-    path, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
-    return df.groupBy(*by, path.alias("file_path"), size.alias("file_size")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-
-
-def small_files(df: DataFrame, below_bytes: int, *by: str) -> DataFrame:
-    """Files, small files and bytes, per group or overall."""
-    return (
-        file_sizes(df, *by)
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.count_if(F.col("file_size") < below_bytes).alias("small_files"),
-            F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes"),
-        )
-    )
+def file_sizes(spark: SparkSession, *folders: str) -> DataFrame:
+    """``path, length`` of every Parquet file below the folders; lists them and opens none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return files.option("recursiveFileLookup", True).load(list(folders)).select("path", "length")

@@ -11,8 +11,7 @@ from tidemark.operators.shape import with_ingest_time
 from tidemark.plans.lake import Lake
 from tidemark.sources.json_files import json_stream, rescue_stream
 
-# Fixed value: audit detail of a stage whose input is not counted.
-NO_INPUT_COUNT = "inputUnavailable=streamingAutoLoader"
+NO_INPUT_COUNT = "input not counted: files are read as they arrive"
 
 
 def open_stream(lake: Lake, **options) -> DataFrame:
