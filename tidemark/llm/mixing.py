@@ -136,7 +136,8 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float
     unit = keep(units(documents), "units")
     solved = duals(unit, source_targets(unit, weights, most), most).withColumnRenamed("source", "of")
     rated = unit.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "rows", "source_size", "target", _rate(F.col("size"), most).alias("rate"),
+        "doc_id", "source", "size", "rows", "source_size", "target",
+        F.round(_rate(F.col("size"), most), 9).alias("rate"),  # the last digits depend on the order of adding
         F.pmod(F.xxhash64("doc_id", F.lit(11)), F.ceil(F.col("docs") / bucket_rows)).alias("bucket"),
         F.xxhash64("doc_id", "size").alias("shuffled"),
     )
