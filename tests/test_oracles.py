@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import oracles, queries
 from checks.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLES = oracles.oracles()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,13 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import events, rows_of, write_array, write_lines
 
-from tidemark.operators.daily import daily_metrics
+from tidemark.operators.daily import affected_dates, daily_metrics, daily_metrics_with_mark
 from tidemark.plans import gold, silver, upkeep
 from tidemark.plans.lake import Lake, Settings
 from tidemark.plans.pipeline import follow, run
+from tidemark.sources.tables import file_sizes
+from tidemark.sources.upkeep import compact_slices
 from tidemark.spec import CORRUPT, ORDER_EVENTS, RESCUED
 from tidemark.streaming.ingest import ingest
 
+# The events and results of the documented run, which the stages must reproduce.
 DAY_ONE = [
     ("o100", "c100", 120.50, "2026-05-15T10:00:00Z", "2026-05-15T10:05:00Z", 1),
     ("o101", "c101", 80.00, "2026-05-15T11:00:00Z", "2026-05-15T11:05:00Z", 1),
@@ -414,3 +417,68 @@ def test_table_is_never_opened_with_another_layout(spark, tmp_path):
     silver.process(lake)
     with pytest.raises(ValueError, match="sliced by"):
         lake_at(spark, tmp_path, slices=5).silver.read()
+
+
+def test_compaction_ends(spark, tmp_path):
+    lake = lake_at(spark, tmp_path, slices=2)
+    rows = [(f"k{i}", f"customer {i}", i + 1.0, "2026-01-01", "2026-01-01", 1) for i in range(3000)]
+    put(lake, events(spark, *rows), "one")
+    silver.process(lake)
+    table = lake.silver
+    whole = table.read()
+    table.replace(table.with_slice(whole).repartition(12))  # many small files in both slices
+    sizes = {r["_slice"]: r for r in table.slice_sizes(table.snapshot()).collect()}
+    assert min(r["files"] for r in sizes.values()) > 4
+    target = max(r["bytes"] for r in sizes.values()) // 3
+    assert compact_slices(table, target) == 3
+    assert compact_slices(table, target) is None
+    assert compact_slices(table) is not None and compact_slices(table) is None
+    assert {r["files"] for r in table.slice_sizes(table.snapshot()).collect()} == {1}
+    assert table.read().count() == 3000
+
+
+def test_leftovers_of_a_dead_attempt_are_not_listed(spark, tmp_path):
+    lake = lake_at(spark, tmp_path)
+    put(lake, events(spark, *DAY_ONE), "one")
+    silver.process(lake)
+    table, row = lake.silver, lake.silver.read().limit(1)
+    dead = table.with_slice(lake.silver.read()).withColumn("_slice", F.lit("9"))
+    dead.write.partitionBy("_slice").parquet(table.folder(table.snapshot().version + 1))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        version = table.replace(row, table.snapshot().slices)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert table.snapshot().version == version and table.read().count() == 1
+
+
+def test_a_run_that_lags_past_the_retention_still_gets_all_events(spark, tmp_path):
+    lake = lake_at(spark, tmp_path)
+    for n, day in ((1, "2026-01-01"), (2, "2026-01-02"), (3, "2026-01-03")):
+        put(lake, events(spark, (f"o{n}", "c", float(n), day, day, n)), f"n{n}")
+    upkeep.run(lake)
+    upkeep.run(lake, as_of=F.current_timestamp() + F.expr("INTERVAL 400 HOURS"))
+    assert lake.bronze.versions().filter("kind = 'append'").count() == 0
+    silver.process(lake)
+    assert rows_of(lake.silver.read(), *SILVER) == [("o1", 1.0, 1), ("o2", 2.0, 2), ("o3", 3.0, 3)]
+
+
+def test_upkeep_of_plain_tables(spark, tmp_path):
+    lake = lake_at(spark, tmp_path, stage_audit="stage_audit")
+    for n in range(3):
+        put(lake, events(spark, ("", "c", 1.0, "2026-01-01", "2026-01-01", 1)), f"n{n}")
+        silver.process(lake)
+    before = rows_of(lake.quarantine(), "*"), rows_of(lake.stage_audit(), "*")
+    found = {r["table_name"]: r["status"] for r in upkeep.run(lake, lake.settings.quarantine, "stage_audit").collect()}
+    assert set(found.values()) == {"SUCCESS"}
+    assert (rows_of(lake.quarantine(), "*"), rows_of(lake.stage_audit(), "*")) == before
+    assert file_sizes(spark, lake.path(lake.settings.quarantine)).count() == 1
+
+
+def test_a_changed_amount_is_found_though_count_and_mark_agree(spark):
+    row = ("o", "c", 1.0, datetime(2026, 1, 1), datetime(2026, 1, 1), datetime(2026, 1, 1), 1, date(2026, 1, 1))
+    before = spark.createDataFrame([row], ORDER_EVENTS.state_schema)
+    metrics = daily_metrics_with_mark(before, ORDER_EVENTS)
+    after = before.withColumn("amount", F.lit(1.5))
+    assert affected_dates(before, metrics, ORDER_EVENTS, "exact").count() == 0
+    assert affected_dates(after, metrics, ORDER_EVENTS, "exact").count() == 1

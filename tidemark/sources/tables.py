@@ -143,7 +143,10 @@ class SlicedTable:
         expired.
         """
         later = (F.col("version") > version) & (F.col("kind") == kind) & (F.col("rows") > 0)
-        held = self.versions().filter(later).select("version", "slice").collect()
+        held = self.versions().filter(later | (F.col("kind") == "forgotten")).select("version", "slice", "kind").collect()
+        if any(row["kind"] == "forgotten" and row["version"] > version for row in held):
+            raise HistoryExpired(f"{self.path} no longer has all writes after {version}")
+        held = [row for row in held if row["kind"] == kind]
         try:
             return self._scan([self.folder(row["version"], row["slice"]) for row in held])
         except AnalysisException as error:
@@ -275,9 +278,15 @@ class SlicedTable:
         between keeps rows, never loses one.  So the table holds what is live and what is retained.
         """
         named = self.spark.createDataFrame(gone, "version bigint, slice string")
+        last = max(version for version, _ in gone)
+        mark = self.spark.range(0, 1, 1, 1).select(
+            F.lit(last).cast("bigint"), F.lit(None).cast("string"), F.lit(0).cast("bigint"), F.lit("forgotten"),
+            F.lit(self.layout), F.current_timestamp(), F.lit(None).cast("bigint"),
+        )
         rows = self.spark.read.schema(VERSIONS).parquet(self._versions)
         files = [r[0] for r in file_sizes(self.spark, self._versions).select("path").collect()]
-        append(rows.join(named, ["version", "slice"], "left_anti").select(*rows.columns).distinct().coalesce(1), self._versions)
+        left = rows.join(named, ["version", "slice"], "left_anti").select(*rows.columns).filter("kind <> 'forgotten'")
+        append(left.distinct().union(mark).coalesce(1), self._versions)
         for file in files:
             delete(self.spark, file)
 
