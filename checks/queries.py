@@ -17,7 +17,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.plans import gold, silver
 from tidemark.plans.lake import Lake, Settings
 from tidemark.plans.pipeline import follow
-from tidemark.session import configure, keep, scratch_dir
+from tidemark.session import configure, forget_later, keep, scratch_dir
 from tidemark.sources import tables
 from tidemark.sources.tables import expired
 from tidemark.sources.upkeep import compact_slices
@@ -317,7 +317,7 @@ def clicks(spark, sf) -> DataFrame:
 
 def raw_files(spark, sf, keep_unknown: bool, days=(1, 2, 3), folder: str = "") -> str:
     """The raw events as JSON Lines, a folder per day."""
-    folder = folder or scratch_dir(spark, "raw")
+    folder = folder or own_folder(spark, "raw")
     fields = [F.col(c) for c in ORDER_EVENTS.raw]
     unknown = F.when(F.col(RESCUED).isNotNull(), F.lit("x")).alias("extra")
     record = F.to_json(F.struct(*fields, unknown)) if keep_unknown else F.to_json(F.struct(*fields))
@@ -329,8 +329,13 @@ def raw_files(spark, sf, keep_unknown: bool, days=(1, 2, 3), folder: str = "") -
     return folder
 
 
+def own_folder(spark, purpose: str) -> str:
+    """A scratch folder that goes when the process ends."""
+    return forget_later(spark, scratch_dir(spark, purpose))
+
+
 def a_lake(spark, **changes) -> Lake:
-    root = scratch_dir(spark, "lake")
+    root = own_folder(spark, "lake")
     settings = {"slices": 8, "gold_slices": "month", "checkpoint": f"{root}/checkpoint"}
     return Lake(spark, Settings(root, **{**settings, **changes}))
 
@@ -354,7 +359,7 @@ def stream_rescue(spark, sf) -> DataFrame:
 def stream_silver(spark, sf) -> DataFrame:
     """Files are added to one folder day by day; each run of the same query, with the same checkpoint,
     picks up those it has not seen and brings the keyed table up to date."""
-    folder = scratch_dir(spark, "raw")
+    folder = own_folder(spark, "raw")
     lake = a_lake(spark, require_update_time=True, require_version=True, raw_dir=f"{folder}/*")
     for day in (1, 2, 3):
         raw_files(spark, sf, True, (day,), folder)
@@ -364,7 +369,7 @@ def stream_silver(spark, sf) -> DataFrame:
 
 def stream_array_files(spark, sf) -> DataFrame:
     """Each file holds one JSON array of events, as the whole-file layout takes them."""
-    folder = scratch_dir(spark, "arrays")
+    folder = own_folder(spark, "arrays")
     fields = F.struct(*[F.col(c) for c in ORDER_EVENTS.raw])
     events = order_events(spark, sf).filter(F.col(CORRUPT).isNull())
     part = F.pmod(F.xxhash64("orderId"), F.lit(16))
@@ -410,7 +415,7 @@ def merge_counts(spark, sf) -> DataFrame:
 
 def appended(spark, sf) -> DataFrame:
     """A plain table that the first day's events make and the others are appended to."""
-    folder = scratch_dir(spark, "appended")
+    folder = own_folder(spark, "appended")
     rows = clean(spark, sf)
     for moment in DAYS:
         tables.append(rows.filter(F.col("ingest_timestamp") == at(moment)), folder)

@@ -463,6 +463,17 @@ def test_a_run_that_lags_past_the_retention_still_gets_all_events(spark, tmp_pat
     assert rows_of(lake.silver.read(), *SILVER) == [("o1", 1.0, 1), ("o2", 2.0, 2), ("o3", 3.0, 3)]
 
 
+def test_a_batch_is_checked_once(spark, tmp_path):
+    lake = lake_at(spark, tmp_path)
+    put(lake, events(spark, *DAY_ONE), "one")
+    reads = spark.sparkContext.accumulator(0)
+    counting = F.udf(lambda key: reads.add(1) or key)
+    bronze = lake.bronze.read().withColumn("orderId", counting("orderId"))
+    silver.process_events(lake, bronze, "run", 1)
+    assert reads.value == len(DAY_ONE)
+    assert lake.silver.read().count() == 2
+
+
 def test_upkeep_of_plain_tables(spark, tmp_path):
     lake = lake_at(spark, tmp_path, stage_audit="stage_audit")
     for n in range(3):

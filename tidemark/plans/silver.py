@@ -41,8 +41,8 @@ class TooManyRescued(RuntimeError):
 def process(lake: Lake, as_of: Column | None = None) -> DataFrame:
     """One run over new (or all) Bronze rows.  Returns the alerts it raises.
 
-    Counting, quarantine and merge each read the batch once; nothing is cached,
-    so the batch may be larger than the cluster's memory.
+    The batch is read and checked once; counting, quarantine and merge start from
+    what that pass wrote to the shared scratch folder.
     """
     bronze, seen = lake.bronze, lake.silver.snapshot().source_version
     arrived = bronze.snapshot()
@@ -64,8 +64,18 @@ def process(lake: Lake, as_of: Column | None = None) -> DataFrame:
 def process_events(
     lake: Lake, events: DataFrame, run_id: str, source_version: int, as_of: Column | None = None
 ) -> DataFrame:
+    checked = validate(events, lake.entity, lake.settings.contract)
+    with scratch(lake.spark, "checked") as folder:
+        checked.write.parquet(folder)
+        validated = lake.spark.read.schema(checked.schema).parquet(folder)
+        return _store(lake, validated, run_id, source_version, as_of)
+
+
+def _store(
+    lake: Lake, validated: DataFrame, run_id: str, source_version: int, as_of: Column | None
+) -> DataFrame:
+    """Quarantine, merge and audit of checked events."""
     settings, entity = lake.settings, lake.entity
-    validated = validate(events, entity, settings.contract)
     counts = quality_counters(validated).first().asDict()
 
     if counts["bad_records"]:

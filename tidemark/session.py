@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,12 +40,32 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def keep(df: DataFrame, purpose: str = "kept") -> DataFrame:
-    """Write ``df`` out and read it back: later steps start from the files."""
+    """Write ``df`` out and read it back: later steps start from the files.
+
+    The files go when the driver's process ends, as results may be read until then.
+    """
     folder = scratch_dir(df.sparkSession, purpose)
+    forget_later(df.sparkSession, folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+_kept: list[tuple[SparkSession, str]] = []
+
+
+def forget_later(spark: SparkSession, folder: str) -> str:
+    """Delete ``folder`` when the driver's process ends."""
+    _kept.append((spark, folder))
+    return folder
+
+
+@atexit.register
+def _delete_kept() -> None:
+    for spark, folder in _kept:
+        with suppress(Exception):  # the session may be gone already
+            delete(spark, folder)
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A scratch folder for the time of a block."""
