@@ -11,7 +11,7 @@ from tidemark.operators.daily import affected_dates, daily_metrics, daily_metric
 from tidemark.plans import gold, silver, upkeep
 from tidemark.plans.lake import Lake, Settings
 from tidemark.plans.pipeline import follow, run
-from tidemark.sources.tables import file_sizes
+from tidemark.sources.tables import SlicedTable, date_slice, file_sizes
 from tidemark.sources.upkeep import compact_slices
 from tidemark.spec import CORRUPT, ORDER_EVENTS, RESCUED
 from tidemark.streaming.ingest import ingest
@@ -471,7 +471,27 @@ def test_a_batch_is_checked_once(spark, tmp_path):
     bronze = lake.bronze.read().withColumn("orderId", counting("orderId"))
     silver.process_events(lake, bronze, "run", 1)
     assert reads.value == len(DAY_ONE)
-    assert lake.silver.read().count() == 2
+    assert lake.silver.read().count() == 3
+
+
+def test_metrics_under_their_old_key_and_without_marks(spark, tmp_path):
+    lake = lake_at(spark, tmp_path)
+    put(lake, events(spark, *DAY_ONE), "one")
+    silver.process(lake)
+    old = daily_metrics(lake.silver.read(), ORDER_EVENTS).withColumn("totalRevenue", F.lit(-1.0))
+    old = old.withColumnRenamed("order_date", "timestamp")
+    table = SlicedTable(
+        spark, lake.path("gold_daily_metrics"), "`timestamp` date, totalOrders bigint, totalRevenue double",
+        date_slice("timestamp"), "date",
+    )
+    table.replace(old)
+    assert rows_of(lake.gold.read(), *GOLD) == [(date(2026, 5, 15), 3, -1.0)]
+    gold.refresh(lake)  # no marks yet: all dates once
+    assert rows_of(lake.gold.read(), *GOLD) == [(date(2026, 5, 15), 3, 260.5)]
+    put(lake, events(spark, *DAY_TWO), "two", datetime(2026, 1, 2))
+    silver.process(lake)
+    gold.refresh(lake)
+    assert rows_of(lake.gold.read(), *GOLD) == [(date(2026, 5, 15), 3, 275.5), (date(2026, 5, 16), 1, 25.0)]
 
 
 def test_upkeep_of_plain_tables(spark, tmp_path):

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.failures import is_permission_failure
 from tidemark.functions.names import untrusted_name_message
 
+# The columns of the two audit tables.
 STAGE_AUDIT = (
     "stage_run_id string, run_timestamp timestamp, stage_name string, input_records bigint, "
     "output_records bigint, rejected_records bigint, rescued_records bigint, status string, "
@@ -34,7 +35,7 @@ def stage_audit_rows(
     """Audit rows from a DataFrame of counts.
 
     ``counts`` carries input_records, output_records, rejected_records,
-    rescued_records and details; the counts of a run are never collected first.
+    rescued_records and details.  A stage gives its one row of counts, which it needs itself.
     """
     return counts.select(
         (F.lit(run_id) if isinstance(run_id, str) else run_id).alias("stage_run_id"),

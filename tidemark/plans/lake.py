@@ -22,6 +22,7 @@ class Settings:
     root: str
     raw_dir: str = ""
     checkpoint: str = ""
+    # Names and limits the tables and alerts of existing lakes have.
     bronze: str = "bronze_orders"
     silver: str = "silver_orders"
     gold: str = "gold_daily_metrics"
@@ -135,7 +136,8 @@ class Lake:
         entity, by = self.entity, self.settings.gold_slices
         slice_of = {"date": tables.date_slice, "month": tables.month_slice}[by]
         return SlicedTable(
-            self.spark, self.path(self.settings.gold), entity.daily_schema, slice_of(entity.date), by
+            self.spark, self.path(self.settings.gold), entity.daily_schema, slice_of(entity.date), by,
+            older_names={entity.date: entity.event_time},
         )
 
     def quarantine(self) -> DataFrame | None:

@@ -88,10 +88,13 @@ class SlicedTable:
         layout: str,
         sort_by: Sequence[str] = (),
         tracks_changes: bool = False,
+        older_names: dict[str, str] | None = None,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.slice_of, self.layout, self.sort_by = slice_of, layout, tuple(sort_by)
         self.tracks_changes = tracks_changes
+        # dates that older files keep under another name
+        self.older_names = older_names or {}
         self._data, self._versions = f"{self.path}/data", f"{self.path}/versions"
 
     # -- reading -----------------------------------------------------------
@@ -260,7 +263,8 @@ class SlicedTable:
 
     def _stored_schema(self) -> str:
         tracked = f", {CHANGE} string, {PREVIOUS_DATE} date" if self.tracks_changes else ""
-        return f"{self.schema}{tracked}, _version bigint, _slice string"
+        older = "".join(f", `{old}` date" for old in self.older_names.values())
+        return f"{self.schema}{tracked}{older}, _version bigint, _slice string"
 
     def slice_sizes(self, snapshot: Snapshot) -> DataFrame:
         """``_slice, files, bytes`` of the newest version of each slice."""
@@ -296,9 +300,12 @@ class SlicedTable:
 
     def _scan(self, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], self._stored_schema())
-        reader = self.spark.read.schema(self._stored_schema()).option("basePath", self._data)
-        return reader.parquet(*paths)
+            rows = self.spark.createDataFrame([], self._stored_schema())
+        else:
+            reader = self.spark.read.schema(self._stored_schema()).option("basePath", self._data)
+            rows = reader.parquet(*paths)
+        renamed = {new: F.coalesce(new, old) for new, old in self.older_names.items()}
+        return rows.withColumns(renamed).drop(*self.older_names.values()) if renamed else rows
 
 
 def superseded(versions: DataFrame) -> DataFrame:
