@@ -33,12 +33,10 @@ def test_a_filter_too_small_changes_nothing(spark):
     docs = spark.createDataFrame([(i, f"text {i % 700}") for i in range(1500)], "doc_id long, text string")
     want = exact_report([(r.doc_id, r.text) for r in docs.collect()])
     assert rows_of(exact_dedup.duplicate_report(docs, max_bits=exact_dedup.BLOCK)) == want
-    flagged = exact_dedup.maybe_repeated
     digests = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"))
     bits = exact_dedup.filter_bits(1500)
-    hit = flagged(digests, exact_dedup.repeat_filter(digests, bits), bits, "sha", "hit")
-    single = {i for i in range(1500) if i % 700 >= 100}  # these texts occur twice, the others three times
-    assert hit.filter("hit").count() == 1500 and single
+    hit = exact_dedup.maybe_repeated(digests, exact_dedup.repeat_filter(digests, bits), bits, "sha", "hit")
+    assert hit.filter("hit").count() == 1500  # every text occurs at least twice
 
 
 def test_most_single_texts_pass_the_filter(spark):
@@ -113,14 +111,14 @@ def balls(seed, groups=40, members=12):
 
 
 def test_links_join_all_that_are_near(spark):
-    for bits in (0, 1, 3, 4, 6):
+    for bits in (1, 4, 6):
         prints = balls(bits)
         signed = [p - (1 << 64) if p >> 63 else p for p in prints]
         frame = spark.createDataFrame([(s,) for s in signed], "fp long").cache()
         want = {}
         for d, _, c in near_report(zip(signed, prints), bits):
             want.setdefault(c, set()).add(d)
-        for options in ({}, {"members": 3, "task_rows": 500}):
+        for options in ({}, {"members": 3, "task_rows": 500})[: 2 if bits == 4 else 1]:
             found = {}
             for r in components(simhash.near_links(frame, bits, **options)).collect():
                 found.setdefault(r.root, set()).add(r.node)
