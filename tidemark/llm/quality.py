@@ -137,7 +137,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> di
         yield pa.RecordBatch.from_arrays([pa.array([k for k in SHAPES]), pa.array([model[k].ravel().tolist() for k in SHAPES])], names=["name", "values"])
 
     encoded = examples.mapInArrow(encode, "doc_id long, quality double, bag binary").coalesce(1)
-    model = {r["name"]: r["values"] for r in encoded.mapInArrow(learn, "name string, values array<float>").collect()}
+    model = {r["name"]: r["values"] for r in encoded.mapInArrow(learn, "name string, values array<double>").collect()}
     if not model:
         model = {k: v.ravel().tolist() for k, v in fit([], np.zeros(0)).items()}
     return {k: np.array(model[k], np.float32).reshape(s) for k, s in SHAPES.items()}
