@@ -9,11 +9,12 @@ of times an id occurs in a range and the place of its n-th occurrence take a ste
 from __future__ import annotations
 
 import struct
-import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.common import dealt, texts, workers_import
@@ -34,13 +35,21 @@ class WaveletMatrix:
 
     def __init__(self, size: int, planes: list[np.ndarray]):
         self.size, self.planes = size, planes
-        self.zeros, self.before = [], []
-        for plane in planes:
-            padded = np.zeros(-(-size // BLOCK) * BLOCK // 8, np.uint8)
+
+    @cached_property
+    def before(self) -> list[np.ndarray]:
+        """Set bits before each block of each plane, and in all of it."""
+        found = []
+        for plane in self.planes:
+            padded = np.zeros(-(-self.size // BLOCK) * BLOCK // 8, np.uint8)
             padded[: len(plane)] = plane
             ones = np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
-            self.before.append(np.concatenate([[0], np.cumsum(ones)]))
-            self.zeros.append(size - int(self.before[-1][-1]))
+            found.append(np.concatenate([[0], np.cumsum(ones)]))
+        return found
+
+    @cached_property
+    def zeros(self) -> list[int]:
+        return [self.size - int(b[-1]) for b in self.before]
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -48,9 +57,9 @@ class WaveletMatrix:
         width = int(ids.max()).bit_length() if size else 0
         now = ids.astype(np.uint16 if width <= 16 else np.uint32)
         for bit in reversed(range(width)):
-            ones = (now >> bit & 1).astype(bool)
+            ones = (now & now.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            now = np.concatenate([now[~ones], now[ones]])
+            now = np.concatenate([now.take(np.flatnonzero(~ones)), now.take(np.flatnonzero(ones))])
         return cls(size, planes)
 
     def _bit(self, level: int, at: int) -> int:
@@ -120,19 +129,19 @@ class WaveletMatrix:
         """The whole sequence, rebuilt from the last plane to the first."""
         now = np.zeros(self.size, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for up, plane in enumerate(reversed(self.planes)):
-            ones = np.unpackbits(plane, count=self.size, bitorder="little").astype(bool)
+            ones = np.unpackbits(plane, count=self.size, bitorder="little").view(bool)
             zeros, above = self.size - int(np.count_nonzero(ones)), np.empty_like(now)
-            above[~ones] = now[:zeros]
-            above[ones] = now[zeros:] | now.dtype.type(1 << up)
+            above[np.flatnonzero(~ones)] = now[:zeros]
+            above[np.flatnonzero(ones)] = now[zeros:] | now.dtype.type(1 << up)
             now = above
         return now.astype("<u4")
 
 
 def to_file(ids: np.ndarray, ends: np.ndarray) -> bytes:
     """The bytes of one shard: a head, the ends of its documents, its planes, each compressed by itself."""
-    matrix = WaveletMatrix.of(ids)
-    blocks = [zlib.compress(np.diff(ends, prepend=0).astype("<u4").tobytes(), 1)]
-    blocks += [zlib.compress(plane.tobytes(), 1) for plane in matrix.planes]
+    matrix, packer = WaveletMatrix.of(ids), zstandard.ZstdCompressor(1)
+    blocks = [packer.compress(np.diff(ends, prepend=0).astype("<u4").tobytes())]
+    blocks += [packer.compress(plane.tobytes()) for plane in matrix.planes]
     head = HEAD.pack(MAGIC, VERSION, len(matrix.planes), len(ids), len(ends))
     return head + struct.pack(f"<{len(blocks)}Q", *map(len, blocks)) + b"".join(blocks)
 
@@ -143,9 +152,9 @@ def from_file(data: bytes) -> tuple[WaveletMatrix, np.ndarray]:
     if magic != MAGIC or version != VERSION:
         raise ValueError("not a wavelet matrix shard")
     sizes = struct.unpack_from(f"<{width + 1}Q", data, HEAD.size)
-    at, blocks = HEAD.size + 8 * (width + 1), []
+    at, blocks, unpacker = HEAD.size + 8 * (width + 1), [], zstandard.ZstdDecompressor()
     for n in sizes:
-        blocks.append(zlib.decompress(data[at:at + n]))
+        blocks.append(unpacker.decompress(data[at:at + n]))
         at += n
     ends = np.cumsum(np.frombuffer(blocks[0], "<u4"), dtype=np.int64)
     return WaveletMatrix(size, [np.frombuffer(b, np.uint8) for b in blocks[1:]]), ends
