@@ -21,6 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 MARKS = r"!#$%&()*+,\-./:;=?@"
 RUNS = re.compile(rf"[{LETTERS}]+|[{MARKS}]+|\n")
+WORD = re.compile(rf"([{LETTERS}]+)([{MARKS}]*)")
 PLAIN = re.compile(rf"(?:[{LETTERS}]+|[{MARKS}]+)(?:\n?(?:[{LETTERS}]+|[{MARKS}]+))*")
 PROBES = ("a", "Is.", "THEAHEBLE!!", "achlichß", "réeuxê,###", "Ñdota.\nEn", "x-y", "(über)", "xqzjk:\n-éÉ", "þorn%%%")
 IDS = np.dtype("<u4")
@@ -89,6 +90,10 @@ class Encoder:
         return ids
 
     def _ids(self, gap: str, piece: str) -> list[int]:
+        if self.direct and (plain := WORD.fullmatch(piece)):
+            word, marks = plain.groups()
+            ids = self.runs[gap + word]
+            return ids + self.runs[marks] if marks else ids
         if self.direct and PLAIN.fullmatch(piece):
             return self._plain(gap, piece)
         if not piece or piece[0].isspace() or not piece[0].isprintable():
