@@ -141,3 +141,14 @@ def test_drop_near_duplicates(spark):
     want = sorted((d for d, _, c in report if d == c), key=repr)
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == want
     assert simhash.drop_near_duplicates(empty(spark)).collect() == []
+
+
+def test_near_duplicates_go_by_row_and_not_by_id(spark):
+    far = ["seven grey boats left the old harbour at dawn", "nobody reads the long report on winter wheat", "a clock without hands hung above that door"]
+    fox, one = ROWS[0][1], "many small rivers feed the wide northern lake"
+    rows = [(1, fox), (None, fox.upper()), (None, far[0]), (2, one), (5, one.upper()), (5, far[1]), (None, far[2]), (None, far[2].upper())]
+    prints = [slow_fingerprint(t) for t in (fox, one, *far)]
+    assert all((a ^ b).bit_count() > 4 for a in prints for b in prints if a != b)
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    last = min(far[2], far[2].upper(), key=lambda t: hashlib.sha256(t.encode()).digest())
+    assert sorted(map(tuple, kept), key=repr) == sorted([(1, fox), (None, far[0]), (2, one), (5, far[1]), (None, last)], key=repr)

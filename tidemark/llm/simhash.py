@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import dealt, texts, workers_import
 from tidemark.llm.components import components, forest
@@ -48,16 +48,23 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` of every row, the fingerprint as a signed long."""
+def _sha() -> Column:
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def fingerprints(documents: DataFrame, shingle: int = 4, sha: bool = False) -> DataFrame:
+    """``doc_id, fp`` of every row, the fingerprint as a signed long; with ``sha`` also the SHA-256 of its text."""
     workers_import(documents.sparkSession)
+    more = ["sha"] if sha else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, more)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *more])
 
-    return texts(documents).mapInArrow(run, "doc_id long, fp long")
+    read = texts(documents, *(_sha().alias(c) for c in more))
+    return read.mapInArrow(run, "doc_id long, fp long" + ", sha binary" * sha)
 
 
 def segments(bits: int) -> list[tuple[int, int]]:
@@ -174,16 +181,14 @@ def near_links(prints: DataFrame, bits: int = 4, members: int = KEY_MEMBERS, tas
     return links
 
 
-def _classes(documents: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Fingerprint of each row, and the component of each distinct fingerprint."""
-    prints = keep(fingerprints(documents, shingle), "fingerprints")
-    classes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
+def _classes(prints: DataFrame, bits: int, of: Column) -> DataFrame:
+    """``class, lowest``: each distinct fingerprint and the smallest ``of`` among the rows of its component."""
+    classes = keep(prints.groupBy("fp").agg(F.min(of).alias("first")), "classes")
     found = keep(components(near_links(classes.select("fp"), bits)), "components")
     joined = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     joined = keep(joined, "rooted")
-    lowest = keep(joined.groupBy("root").agg(F.min("first").alias("component_id")), "lowest").withColumnRenamed("root", "of")
-    of = joined.join(lowest, F.col("root") == F.col("of")).select(F.col("fp").alias("class"), "component_id")
-    return prints, keep(of, "of")
+    lowest = keep(joined.groupBy("root").agg(F.min("first").alias("lowest")), "lowest").withColumnRenamed("root", "of")
+    return keep(joined.join(lowest, F.col("root") == F.col("of")).select(F.col("fp").alias("class"), "lowest"), "of")
 
 
 def near_duplicate_report(documents: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
@@ -194,18 +199,23 @@ def near_duplicate_report(documents: DataFrame, shingle: int = 4, bits: int = 4)
     words, null or not, has fingerprint zero and links like any other; one with fewer words than a
     shingle is one shingle.  Repeated rows each get a row.  Other columns are not read.
     """
-    prints, of = _classes(documents, shingle, bits)
+    prints = keep(fingerprints(documents, shingle), "fingerprints")
+    of = _classes(prints, bits, F.col("doc_id")).withColumnRenamed("lowest", "component_id")
     return prints.join(of, F.col("fp") == F.col("class")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """``documents`` without the rows whose component has a smaller ``doc_id``.
+    """``documents`` with one document of each component: the one with the smallest ``doc_id``.
 
-    Rows are told apart by ``doc_id``: rows that repeat a kept one all stay, and a null id stays only where
-    its component has no other.  All columns come through unchanged.
+    Null ids come after all others; of texts with the same id the one with the smallest SHA-256 stays.  Only rows
+    that repeat both the kept id and its text stay too (a null text counts as empty).  All columns come
+    through unchanged.
     """
-    report = near_duplicate_report(documents, shingle, bits)
-    gone = report.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
-    gone = keep(gone.distinct(), "gone")
-    return documents.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    prints = keep(fingerprints(documents, shingle, sha=True), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "sha")
+    of = _classes(prints, bits, row)
+    lost = prints.join(of, F.col("fp") == F.col("class")).filter(~row.eqNullSafe(F.col("lowest")))
+    gone = keep(lost.select(F.col("doc_id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct(), "gone")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (_sha() == F.col("__gone_sha"))
+    return documents.join(gone, same, "left_anti")
