@@ -112,3 +112,36 @@ def test_quality_edges(spark):
     assert quality.score(empty(spark), model).collect() == []
     assert len(quality.passages("x" * 10_000_00)) <= quality.PASSAGES
     assert quality.passages("").shape == (1, quality.INPUTS)
+
+
+def test_every_passage_of_a_long_text_counts():
+    words = [f"word{i * 7919 % 1009}" for i in range(60_000)]
+    text = "".join(w + (" " if i % 3 else "  \n") for i, w in enumerate(words)) + "again " * 90
+    found = np.concatenate(list(quality.chunks(text)))
+    raw = text.encode()
+    assert len(found) == -(-len(raw) // quality.PASSAGE_BYTES) > quality.PASSAGES
+    for i in (0, 255, 256, 600, len(found) - 1):
+        part = raw[512 * i:512 * i + 512]
+        counts = np.bincount(np.frombuffer(part, np.uint8), minlength=256)
+        assert np.allclose(found[i, :256], np.sqrt(counts / len(part))) and np.isclose(found[i, 258], np.log1p(len(part)) / 8)
+    before, quality.STRETCH = quality.STRETCH, 1000
+    try:
+        assert (np.concatenate(list(quality.chunks(text))) == found).all()
+    finally:
+        quality.STRETCH = before
+    model = {k: np.random.default_rng(0).normal(0, 0.3, s) for k, s in quality.SHAPES.items()}
+    values = ["short", text, "", "x" * 512 * 256, "x" * (512 * 256 + 1)]
+    bags = [np.concatenate(list(quality.chunks(v))) for v in values]
+    whole = quality.forward(model, np.concatenate(bags), np.cumsum([0, *map(len, bags[:-1])]))[0]
+    for at_once in (1, 2, 256):
+        assert np.allclose(quality.score_texts(model, values, at_once), whole, atol=1e-6)
+
+
+def test_gradients_of_long_bags_match_those_of_whole_ones():
+    random = np.random.default_rng(0)
+    model = {k: random.normal(0, 0.3, s) for k, s in quality.SHAPES.items()}
+    bags, y = [random.random((n, quality.INPUTS)) for n in (1, 9, 4, 30)], np.array([1.0, 0.0, 1.0, 0.0])
+    whole = quality.gradients(model, np.concatenate(bags), np.array([0, 1, 10, 14]), y)
+    for size, at_once in ((4, 2), (3, 1), (100, 64)):
+        found = quality.bag_gradients(model, bags, y, size, at_once)
+        assert all(np.allclose(found[k], whole[k]) for k in quality.SHAPES)

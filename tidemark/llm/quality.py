@@ -7,6 +7,7 @@ score are learned together from document labels, so the weights show which passa
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from operator import eq
 
@@ -17,9 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.common import texts, workers_import
 from tidemark.session import keep
 
-#: Bounds of training, and of the passages of one document: longer texts have longer passages.
+#: Bound of training, and the passages that are encoded together: a longer text takes several such chunks.
 TRAIN_ROWS, PASSAGES = 8_000, 256
 PASSAGE_BYTES = 512
+#: Bytes whose words are compared together, to the next blank.
+STRETCH, BLANK = 1 << 20, re.compile(rb"[ \t\n\r\x0b\x0c]")
 TRIGRAMS = 1_024
 WIDTH, ATTENTION = 24, 12
 EPOCHS, BAGS, RATE = 12, 64, 0.004
@@ -27,26 +30,52 @@ THRESHOLD = 0.3
 FOLDS = 5
 
 
-def passages(text: str) -> np.ndarray:
-    """One row per passage of the whole text.
+def _repeats(raw: bytes, n: int) -> np.ndarray:
+    """Share of the words beginning in each of ``n`` passages that repeat the one before, a stretch of text at a time."""
+    words_in, repeats_in = np.zeros(n), np.zeros(n)
+    start, at, last = 0, 0, []
+    while start < len(raw):
+        cut = BLANK.search(raw, start + STRETCH)
+        end = cut.start() if cut else len(raw)
+        words = last + raw[start:end].split()
+        if words:
+            places = at + np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)[:-1]
+            of = np.minimum(places // PASSAGE_BYTES, n - 1)
+            again = np.fromiter(map(eq, words[1:], words), bool, len(words) - 1)
+            words_in += np.bincount(of, minlength=n)
+            repeats_in += np.bincount(of, weights=again, minlength=n)
+            at, last = int(places[-1]) if len(places) else at, words[-1:]
+        start = end
+    return repeats_in / np.maximum(1, words_in)
+
+
+def passages(text: str | bytes, first: int = 0, repeats: np.ndarray | None = None) -> np.ndarray:
+    """One row per passage of 512 bytes, of the at most ``PASSAGES`` from number ``first`` on; :func:`chunks` gives all.
 
     How often each byte occurs, how varied its trigrams are, how many words repeat the one before, its length.
     """
-    raw = text.encode() or b" "
-    data, words = np.frombuffer(raw, np.uint8), raw.split()
-    size = max(PASSAGE_BYTES, -(-len(data) // PASSAGES))
-    n = -(-len(data) // size)
-    of = np.arange(len(data)) // size
+    raw = (text.encode() if isinstance(text, str) else text) or b" "
+    if repeats is None:
+        repeats = _repeats(raw, -(-len(raw) // PASSAGE_BYTES))
+    start, end = first * PASSAGE_BYTES, (first + PASSAGES) * PASSAGE_BYTES
+    data = np.frombuffer(raw[start:end], np.uint8)
+    n = -(-len(data) // PASSAGE_BYTES)
+    of = np.arange(len(data)) // PASSAGE_BYTES
     lengths = np.bincount(of, minlength=n)[:, None]
     found = np.bincount(of * 256 + data, minlength=n * 256).reshape(n, 256)
-    wide = data.astype(np.int64)
-    trigram = (wide[:-2] * 31 + wide[1:-1] * 7 + wide[2:] * 131) % TRIGRAMS if len(data) > 2 else wide[:0]
+    wide = np.frombuffer(raw[start:end + 2], np.uint8).astype(np.int64)
+    trigram = (wide[:-2] * 31 + wide[1:-1] * 7 + wide[2:] * 131) % TRIGRAMS if len(wide) > 2 else wide[:0]
     kinds = np.bincount(of[: len(trigram)] * TRIGRAMS + trigram, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS) > 0
     varied = kinds.sum(axis=1, keepdims=True) / np.minimum(lengths, TRIGRAMS)
-    at = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)[:-1] // size
-    again = np.fromiter(map(eq, words[1:], words), bool, max(0, len(words) - 1))
-    repeats = np.bincount(np.minimum(at, n - 1), weights=again, minlength=n) / np.maximum(1, np.bincount(np.minimum(at, n - 1), minlength=n))
-    return np.hstack([np.sqrt(found / lengths), 2 * varied, 2 * repeats[:, None], np.log1p(lengths) / 8]).astype(np.float32)
+    return np.hstack([np.sqrt(found / lengths), 2 * varied, 2 * repeats[first:first + n, None], np.log1p(lengths) / 8]).astype(np.float32)
+
+
+def chunks(text: str) -> Iterator[np.ndarray]:
+    """All passages of the text, however long, ``PASSAGES`` at a time."""
+    raw = text.encode() or b" "
+    repeats = _repeats(raw, -(-len(raw) // PASSAGE_BYTES))
+    for first in range(0, len(repeats), PASSAGES):
+        yield passages(raw, first, repeats)
 
 
 INPUTS = 259
@@ -57,31 +86,87 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def forward(m: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray):
-    """Score of each bag; bag ``i`` has the rows of ``x`` from ``starts[i]`` on.  Also all steps on the way."""
+def pool(m: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray):
+    """Attention over the rows of ``x`` from each of ``starts`` on: codes, weights, weighted sums, and what :func:`merge` needs."""
     sizes = np.diff(np.append(starts, len(x)))
     h = np.tanh(x @ m["W"] + m["b"])
     t, g = np.tanh(h @ m["V"]), _sigmoid(h @ m["U"])
     s = (t * g) @ m["a"]
-    e = np.exp(s - np.repeat(np.maximum.reduceat(s, starts), sizes))
-    alpha = e / np.repeat(np.add.reduceat(e, starts), sizes)
+    top = np.maximum.reduceat(s, starts)
+    e = np.exp(s - np.repeat(top, sizes))
+    total = np.add.reduceat(e, starts)
+    alpha = e / np.repeat(total, sizes)
     z = np.add.reduceat(alpha[:, None] * h, starts)
-    return _sigmoid(z @ m["c"] + m["d"][0]), (sizes, h, t, g, alpha, z)
+    return (sizes, h, t, g, alpha, z), top, total
 
 
-def gradients(m: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean logistic loss over the bags."""
-    p, (sizes, h, t, g, alpha, z) = forward(m, x, starts)
-    dout = (p - y) / len(y)
+def merge(top: np.ndarray, total: np.ndarray, z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted sum of each document from those of its chunks, and the weight of each chunk: the softmax over all passages.
+
+    ``top`` and ``total`` are a chunk's largest attention score and the sum of its weights relative to that.
+    """
+    sizes = np.diff(np.append(starts, len(top)))
+    share = total * np.exp(top - np.repeat(np.maximum.reduceat(top, starts), sizes))
+    share = share / np.repeat(np.add.reduceat(share, starts), sizes)
+    return np.add.reduceat(share[:, None] * z, starts), share
+
+
+def _out(m: dict[str, np.ndarray], z: np.ndarray) -> np.ndarray:
+    return _sigmoid(z @ m["c"] + m["d"][0])
+
+
+def forward(m: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray):
+    """Score of each bag; bag ``i`` has the rows of ``x`` from ``starts[i]`` on.  Also all steps on the way."""
+    steps, _, _ = pool(m, x, starts)
+    return _out(m, steps[-1]), steps
+
+
+def _back(m: dict[str, np.ndarray], x: np.ndarray, steps: tuple, share: np.ndarray, z: np.ndarray, dout: np.ndarray) -> dict[str, np.ndarray]:
+    """What chunks of passages add to the gradients of all but the score's layer.
+
+    ``share, z, dout``: for each chunk its weight in its document, the document's weighted sum and the loss's slope.
+    """
+    sizes, h, t, g, alpha, _ = steps
+    alpha = alpha * np.repeat(share, sizes)
     dz = np.repeat(dout, sizes)[:, None] * m["c"]
-    dalpha = (dz * h).sum(axis=1)
-    ds = alpha * (dalpha - np.repeat(np.add.reduceat(alpha * dalpha, starts), sizes))
+    ds = alpha * ((dz * h).sum(axis=1) - np.repeat(dout * (z @ m["c"]), sizes))
     dt, dg = ds[:, None] * m["a"] * g * (1 - t * t), ds[:, None] * m["a"] * t * g * (1 - g)
     dh = (alpha[:, None] * dz + dt @ m["V"].T + dg @ m["U"].T) * (1 - h * h)
-    return {
-        "W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg, "a": (t * g).T @ ds,
-        "c": z.T @ dout, "d": np.array([dout.sum()]),
-    }
+    return {"W": x.T @ dh, "b": dh.sum(axis=0), "V": h.T @ dt, "U": h.T @ dg, "a": (t * g).T @ ds}
+
+
+def gradients(m: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean logistic loss over the bags."""
+    bags = np.split(x, starts[1:])
+    return bag_gradients(m, bags, y, max(map(len, bags)), len(bags))
+
+
+def _blocks(bags: list[np.ndarray], size: int, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Bags in chunks of ``size`` rows, ``at_once`` chunks together: rows, where chunks start, the bag of each chunk."""
+    places = [(i, at) for i, bag in enumerate(bags) for at in range(0, len(bag), size)]
+    for k in range(0, len(places), at_once):
+        part = [bags[i][at:at + size] for i, at in places[k:k + at_once]]
+        x = np.concatenate(part)
+        yield x.astype(np.result_type(x, np.float32), copy=False), np.cumsum([0, *map(len, part[:-1])]), np.array([i for i, _ in places[k:k + at_once]])
+
+
+def bag_gradients(m: dict[str, np.ndarray], bags: list[np.ndarray], y: np.ndarray, size: int = PASSAGES, at_once: int = BAGS) -> dict[str, np.ndarray]:
+    """:func:`gradients` over whole bags of any length; no more than ``at_once`` chunks of ``size`` passages are encoded together."""
+    pooled, of, kept = [], [], None
+    for x, starts, owners in _blocks(bags, size, at_once):
+        kept = pool(m, x, starts)
+        pooled.append((kept[1], kept[2], kept[0][-1]))
+        of.append(owners)
+    of = np.concatenate(of)
+    z, share = merge(*map(np.concatenate, zip(*pooled)), np.searchsorted(of, np.arange(len(bags))))
+    dout = (_out(m, z) - y) / len(y)
+    total, at = {"c": z.T @ dout, "d": np.array([dout.sum()])}, 0
+    for x, starts, owners in _blocks(bags, size, at_once):
+        steps = kept[0] if len(pooled) == 1 else pool(m, x, starts)[0]
+        for k, v in _back(m, x, steps, share[at:at + len(owners)], z[owners], dout[owners]).items():
+            total[k] = total[k] + v if k in total else v
+        at += len(owners)
+    return total
 
 
 def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
@@ -97,10 +182,8 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, seed: int = 5) -> dict[str,
         rate = RATE * (1 - epoch / EPOCHS) + 1e-4
         for at in range(0, len(order), BAGS):
             chosen = order[at:at + BAGS]
-            x = np.concatenate([bags[i] for i in chosen]).astype(np.float32)
-            starts = np.concatenate([[0], np.cumsum([len(bags[i]) for i in chosen])[:-1]])
             step += 1
-            for k, d in gradients(model, x, starts, labels[chosen]).items():
+            for k, d in bag_gradients(model, [bags[i] for i in chosen], labels[chosen]).items():
                 d = d + 1e-4 * model[k] * (k not in "bd")
                 first[k] = 0.9 * first[k] + 0.1 * d
                 second[k] = 0.999 * second[k] + 0.001 * d * d
@@ -116,7 +199,8 @@ def held_out(doc_id: Column) -> Column:
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[str, np.ndarray]:
     """A model fitted to at most ``rows`` labelled documents that are not held out, chosen by a hash of their id.
 
-    The documents' whole texts are turned into passages where they are read; one task learns from the bags.
+    The documents' whole texts are turned into passages where they are read; one task learns from the bags, which are
+    about as large as the texts.
     """
     workers_import(documents.sparkSession)
     chosen = labels.filter(~held_out(F.col("doc_id")) & F.col("quality").isNotNull())
@@ -127,7 +211,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> di
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = [passages(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+            bags = [b"".join(c.astype(np.float16).tobytes() for c in chunks(t)) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(bags, pa.binary())], names=["doc_id", "quality", "bag"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +228,25 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> di
 
 
 def score_texts(model: dict[str, np.ndarray], values: list[str], at_once: int = 256) -> np.ndarray:
-    found = []
-    for i in range(0, len(values), at_once):
-        bags = [passages(t) for t in values[i:i + at_once]]
-        starts = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]])
-        found.append(forward(model, np.concatenate(bags), starts)[0])
-    return np.concatenate(found) if found else np.zeros(0)
+    """Scores from all passages of each text; no more than ``at_once`` chunks are encoded together."""
+    pooled, of, waiting = [], [], []
+
+    def encode():
+        (*_, z), top, total = pool(model, np.concatenate(waiting), np.cumsum([0, *map(len, waiting[:-1])]))
+        pooled.append((top, total, z))
+        waiting.clear()
+
+    for i, text in enumerate(values):
+        for chunk in chunks(text):
+            waiting.append(chunk)
+            of.append(i)
+            if len(waiting) == at_once:
+                encode()
+    if waiting:
+        encode()
+    if not of:
+        return np.zeros(0)
+    return _out(model, merge(*map(np.concatenate, zip(*pooled)), np.searchsorted(of, np.arange(len(values))))[0])
 
 
 def score(documents: DataFrame, model: dict[str, np.ndarray], threshold: float = THRESHOLD) -> DataFrame:
