@@ -80,3 +80,34 @@ def test_edges(spark):
     assert found.columns == docs.columns and found.count() == docs.count()
     assert sorted(map(repr, found.collect())) == sorted(map(repr, docs.collect()))  # nothing personal there
     assert surrogates.surrogate_report(empty(spark), "k").collect() == []
+
+
+def remainder(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_phones_addresses_and_accounts_in_more_forms(spark):
+    real = ["(743) 555-3824", "+44 20 7946 0958", "+49 30 1234567", "+33 1 42 68 53 00", "+44 (0)20 7946 0958", "2001:db8:85a3::8a2e:370:7334", "2001:0DB8:0000:0000:0000:FF00:0042:8329",
+            "fe80::1ff:fe23:4567:890a", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"]
+    found = replaced(spark, {i: f"see {x}: or {x}, thanks" for i, x in enumerate(real)} | {99: "at 12:30:45 std::abs 3:4 AB12 THIS IS TEXT (see 12) ::ffff:10.0.0.1"})
+    for i, x in enumerate(real):
+        one, two = re.fullmatch(r"see (.*): or (.*), thanks", found[i].text).groups()
+        assert one == two != x and len(one) == len(x) and found[i].n_entities == 2, found[i]
+        assert re.sub(r"[0-9A-Fa-f]", "0", one) == re.sub(r"[0-9A-Fa-f]", "0", x) or i > 7
+    assert found[8].text[4:6] == "DE" and all(remainder(found[i].text[4:].split(":")[0].replace(" ", "")) == 1 for i in (8, 9))
+    assert found[99].text.startswith("at 12:30:45 std::abs 3:4 AB12 THIS IS TEXT (see 12) ::ffff:") and found[99].n_entities == 1
+
+
+def test_names_stay_hidden_without_a_title(spark):
+    found = replaced(spark, {
+        1: "Smith came. Mr John Paul Smith met Mrs Anna Schmidt-Berg. John Smith, SMITH's dog, john paul smith and Anna left; smithy and Johnson stay.",
+        2: "John Smith and Smith are in a text of their own",
+        3: "Herr Prof. Dr. J. R. van der Berg, Berg; Mr O'Neill's house, O'Neill",
+    })
+    a, man, mid, family, woman, other, b, c, d, e, f, g, h = re.fullmatch(
+        r"(\w+) came\. Mr (\w+) (\w+) (\w+) met Mrs (\w+) (\w+)\. (\w+) (\w+), (\w+)'s dog, (\w+) (\w+) (\w+) and (\w+) left; smithy and Johnson stay\.", found[1].text).groups()
+    assert a == c == family and b == man and d == family.upper() and [e, f, g] == [man.lower(), mid.lower(), family.lower()] and h == woman
+    assert not {"john", "paul", "smith", "anna"} & {x.lower() for x in (a, man, mid, family, woman, other)} and found[1].n_entities == 7
+    assert found[2].n_entities == 0
+    one, two, three, four = re.fullmatch(r"Herr Prof\. Dr\. [A-Z]\. [A-Z]\. van der (\w+), (\w+); Mr (\w+)'s house, (\w+)", found[3].text).groups()
+    assert one == two != "Berg" and three == four
