@@ -153,3 +153,14 @@ def test_each_shard_is_one_file(spark, tmp_path):
     files = list((tmp_path / "s").glob("*.parquet"))
     assert all(spark.read.parquet(str(f)).count() <= 1 for f in files)
     assert spark.read.parquet(str(tmp_path / "s")).agg(F.sum("n_tokens")).first()[0] == wavelet.read_shards(spark, str(tmp_path / "s")).agg(F.sum("n_tokens")).first()[0]
+
+
+def test_the_frequent_table_counts_all_documents(spark):
+    rows = [(i, f"a pair{i // 2} word") for i in range(3000)] + [(3000, f"z once {'y' * 50} {'y' * 50}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(4)
+    found = token_counts.frequent_pieces(docs, BYTES)
+    library = Tokenizer.from_file(BYTES)
+    assert found == {p: len(library.encode(" " + p, add_special_tokens=False).ids) for p in ("word", *(f"pair{i}" for i in range(1500)))}
+    few = token_counts.frequent_pieces(docs, BYTES, entries=3)
+    assert "word" in few and len(few) <= 3
+    assert token_counts.frequent_pieces(empty(spark), BYTES) == {}

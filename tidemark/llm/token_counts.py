@@ -10,54 +10,66 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import texts, workers_import
 from tidemark.llm.encoding import Encoder, _NotApart, encoder
+from tidemark.session import keep
 
-#: Bounds of the broadcast table: documents it is learned from, entries it may have, length of one.
-SAMPLE_ROWS, TABLE_ENTRIES, PIECE_CHARS = 2_000, 1 << 16, 40
+#: Bounds of the broadcast table and of the one a task counts in: entries, and characters of one.
+TABLE_ENTRIES, PIECE_CHARS = 1 << 16, 40
 
 
-def frequent_pieces(
-    documents: DataFrame, tokenizer: str, sample_rows: int = SAMPLE_ROWS, entries: int = TABLE_ENTRIES
-) -> dict[str, int]:
-    """Number of tokens of the most frequent pieces in at most ``sample_rows`` documents.
+def _prune(words: Counter[str], entries: int) -> Counter[str]:
+    return Counter(dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:entries]))
 
-    The sample only decides what is looked up in the broadcast table rather than a worker's cache.
-    The result has at most ``entries`` pieces of at most ``PIECE_CHARS`` characters, about 4 MB.
+
+def frequent_pieces(documents: DataFrame, tokenizer: str, entries: int = TABLE_ENTRIES) -> dict[str, int]:
+    """Number of tokens of the most frequent pieces in all documents.
+
+    A task counts in a table that it prunes to its ``entries`` most frequent pieces whenever it has four times as many;
+    only these tables are shuffled.  The counts decide what is looked up in the broadcast table rather than a worker's
+    cache.  The result has at most ``entries`` pieces of at most ``PIECE_CHARS`` characters, about 4 MB.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words.update(text.split(" ")[1:])
+                words.update([p for p in text.split(" ")[1:] if len(p) <= PIECE_CHARS])
+                if len(words) > 4 * entries:
+                    words = _prune(words, entries)
+        words = _prune(words, entries)
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["piece", "n"])
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(tokenizer)
-        found = []
-        for piece, n in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-            if len(found) == entries or n < 2:
-                break
-            if len(piece) <= PIECE_CHARS:
-                try:
+        for batch in batches:
+            found = []
+            for piece in batch.column(0).to_pylist():
+                with suppress(_NotApart):
                     found.append((piece, len(library._ids(" ", piece))))
-                except _NotApart:
-                    pass
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([p for p, _ in found], pa.string()), pa.array([n for _, n in found], pa.int32())],
-            names=["piece", "n_tokens"],
-        )
-
-    rows = documents.count()
-    if not rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, _ in found], pa.string()), pa.array([n for _, n in found], pa.int32())],
+                names=["piece", "n_tokens"],
+            )
+
+    workers_import(documents.sparkSession)
+    counted = texts(documents).select("text").mapInArrow(count, "piece string, n long")
+    counted = keep(counted.groupBy("piece").agg(F.sum("n").alias("n")).filter("n > 1"), "pieces")
+    # the smallest count that leaves no more than ``entries`` pieces
+    room, least = entries, None
+    for r in counted.groupBy("n").count().orderBy(F.desc("n")).limit(entries).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["n"]
+    if least is None:
         return {}
-    sample = texts(documents).select("text")
-    if rows > sample_rows:
-        sample = sample.sample(sample_rows / rows, seed=7)
-    table = sample.limit(sample_rows).mapInArrow(count, "piece string, n_tokens int")
-    return {r.piece: r.n_tokens for r in table.collect()}
+    return {r.piece: r.n_tokens for r in counted.filter(F.col("n") >= least).select("piece").mapInArrow(sizes, "piece string, n_tokens int").collect()}
 
 
 def token_counts(documents: DataFrame, tokenizer: str, limit: int = 512, cache_pieces: int = 300_000) -> DataFrame:
