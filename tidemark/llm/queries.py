@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, quality, simhash, surrogates, token_counts, topk, toxicity, wavelet
+from tidemark.llm import (
+    divergence, exact_dedup, filter_audit, mixing, packing, quality, simhash, surrogates, token_counts, topk, toxicity, wavelet,
+)
 from tidemark.llm.common import read
 
 
@@ -55,6 +57,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(read(spark, sf_dir, "documents"), shingle=4, bits=4)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(read(spark, sf_dir, "documents"), least_docs=3, ranks=200)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interaction_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
