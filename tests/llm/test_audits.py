@@ -67,35 +67,37 @@ def test_divergences(spark, seed):
     assert divergences(documents(spark, rows)) == divergences_of(rows)
 
 
-def test_divergences_with_small_stripe_tables_and_few_ranks(spark, monkeypatch):
+def test_divergences_of_all_terms_and_few_ranks(spark):
     rows = random_rows(3)
-    monkeypatch.setattr(divergence, "RANKS", 3)
-    folded = divergence.stripes(documents(spark, rows), 1).collect()
     assert divergences(documents(spark, rows), least_docs=1, ranks=3) == divergences_of(rows, 1, 3)
-    assert {(r.lang, r.term): r.df for r in folded} == Counter((x[2] or "", t) for x in rows for t in set(terms_of(x[1])))
 
 
-def test_stripes_spill_and_merge_to_the_same(monkeypatch):
+def test_spilled_stripes_and_small_blocks_of_pairs(monkeypatch):
     import pyarrow as pa
 
     monkeypatch.setattr(divergence, "SPILL_COUNTS", 5)
-    monkeypatch.setattr(divergence, "SPILL_PAIRS", 3)
+    monkeypatch.setattr(divergence, "PAIRS", 4)
     rows = random_rows(4)
     batch = pa.RecordBatch.from_pydict({
         "text": [r[1].encode() for r in rows], "lang": [r[2] or "" for r in rows], "source": [r[3] or "" for r in rows]})
-    spilled = pa.Table.from_batches(divergence._fold(iter([batch])))
-    assert spilled.num_rows > len(set(zip(spilled["lang"].to_pylist(), spilled["term"].to_pylist())))
-    merged = pa.Table.from_batches(divergence._merge(iter(spilled.sort_by([("lang", "ascending"), ("term", "ascending")]).to_batches())))
-    assert dict(zip(zip(merged["lang"].to_pylist(), merged["term"].to_pylist()), merged["df"].to_pylist())) == Counter(
-        (x[2] or "", t) for x in rows for t in set(terms_of(x[1])))
+    df, n, spilled = Counter(), Counter(), 0
+    for part in divergence._fold(iter([batch])):
+        for r in part.to_pylist():
+            df[r["lang"], r["term"]] += r["df"]
+            n[r["lang"], r["source"], r["term"]] += r["n"]
+            spilled += 1
+    assert df == Counter((x[2] or "", t) for x in rows for t in set(terms_of(x[1])))
+    assert n == Counter((x[2] or "", x[3] or "", t) for x in rows for t in terms_of(x[1])) and spilled > len(n)
     stripes = [("en", t, s, p, 1) for t in "uvw" for s, p in (("a", 3), ("b", 5), ("c", 9))]
-    flat = pa.RecordBatch.from_pydict(dict(zip(("lang", "term", "source", "p", "zero"), map(list, zip(*stripes)))))
     moved = Counter()
-    for part in divergence._folded_pairs(iter([flat])):
-        for r in part.to_pylist():
-            if r["source"] != r["item"]:
+    for cut in (1, 4, 9):
+        parts = [stripes[:cut], stripes[cut:]]
+        names = ("lang", "term", "source", "p", "zero")
+        batches = [pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*p))))) for p in parts if p]
+        for part in divergence._folded_pairs(iter(batches)):
+            for r in part.to_pylist():
                 moved[r["source"], r["item"]] += r["moved"]
-    assert moved["a", "b"] == 3 * ((3 - 5) ** 2 // 5 - (3 - 1) ** 2 // 1 - (1 - 5) ** 2 // 5)
+    assert moved["a", "b"] == 9 * ((3 - 5) ** 2 // 5 - (3 - 1) ** 2 // 1 - (1 - 5) ** 2 // 5) and len(moved) == 6
 
 
 def test_divergences_of_nothing_and_of_clashing_columns(spark):

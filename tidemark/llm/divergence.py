@@ -1,10 +1,10 @@
 """How far the vocabularies of sources lie apart within a language, from stripes folded in the mappers.
 
-A task folds its documents, whole, into one hash table of stripes: term to (documents that have it, occurrences
-by source).  A full table is spilled as rows; Spark sorts the rows by term and a streaming merge adds them up, holding one
-stripe at a time.  Merged stripes of kept terms are written and give all results.  A pair of sources
-only meets in the stripes that hold both: the rest of its sum follows from how often each occurrence count
-comes up in a source, because a term that is missing has one and the same rate there.
+A task folds its documents, whole, into hash stripes: term to (documents that have it, occurrences by
+source).  The stripes of a language lie column by column, one pair of hash tables for each source, so that folding a
+document is two passes in C.  Full tables are spilled as rows and merged by term; a merged stripe is a run of
+rows.  A pair of sources only meets in the stripes that hold both: the rest of its sum
+follows from how often each rate comes up in a source, because a missing term has one and the same rate there.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import workers_import
@@ -21,80 +22,54 @@ from tidemark.session import keep
 
 #: Letters of ASCII in lower case and all bytes of other characters; anything else parts terms.
 TERM_BYTES = bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: A task spills its stripes when they hold this many source counts, some 100 MB.
-SPILL_COUNTS = 400_000
-#: A task hands on its sums of source pairs when it holds this many.
-SPILL_PAIRS = 500_000
+#: A task spills its stripes when they hold this many source counts, some 150 MB.
+SPILL_COUNTS = 500_000
+#: A task compares this many pairs of rates at a time, and hands on its sums when it holds half as many.
+PAIRS = 1_000_000
 SCALE = 1_000_000_000
-RANKS = 200
 
-_STRIPES = "lang string, term string, df long, sources array<string>, counts array<long>"
-_STRIPES_ARROW = pa.schema([
-    ("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+_STRIPES = "lang string, source string, term string, df long, n long"
 
 
-def _rows(stripes: dict) -> Iterator[pa.RecordBatch]:
-    items = list(stripes.items())
-    for at in range(0, len(items), 20_000):
-        part = items[at: at + 20_000]
-        yield pa.RecordBatch.from_arrays([
-            pa.array([lang for (lang, _), _ in part], pa.string()), pa.array([term.decode() for (_, term), _ in part], pa.string()),
-            pa.array([s[0] for _, s in part], pa.int64()), pa.array([list(s[1]) for _, s in part], pa.list_(pa.string())),
-            pa.array([list(s[1].values()) for _, s in part], pa.list_(pa.int64()))], schema=_STRIPES_ARROW)
+def _rows(tables: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (df, counts) in tables.items():
+        terms = pa.array(list(counts), pa.binary()).cast(pa.string())
+        # both tables met the terms in the same order
+        columns = [terms, pa.array(list(df.values()), pa.int64()), pa.array(list(counts.values()), pa.int64())]
+        same = [pa.array([x], pa.string()).take(pa.array(np.zeros(len(terms), np.int32))) for x in (lang, source)]
+        yield pa.RecordBatch.from_arrays([*same, *columns], ["lang", "source", "term", "df", "n"])
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    stripes, held = {}, 0
+    tables, folded = {}, 0
     for batch in batches:
-        for text, lang, source in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), batch["source"].to_pylist()):
-            for term, n in Counter(text.translate(TERM_BYTES).split()).items():
-                stripe = stripes.get((lang, term))
-                if stripe is None:
-                    stripes[lang, term] = [1, {source: n}]
-                    held += 1
-                else:
-                    stripe[0] += 1
-                    counts = stripe[1]
-                    if source in counts:
-                        counts[source] += n
-                    else:
-                        counts[source] = n
-                        held += 1
-            if held >= SPILL_COUNTS:
-                yield from _rows(stripes)
-                stripes, held = {}, 0
-    yield from _rows(stripes)
-
-
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds up neighbouring rows of the same term; the rows come sorted."""
-    key, df, counts, done = None, 0, {}, {}
-    for batch in batches:
-        for lang, term, n, sources, times in zip(*(batch[c].to_pylist() for c in _STRIPES_ARROW.names)):
-            if (lang, term) != key:
-                if key is not None:
-                    done[key[0], key[1].encode()] = [df, counts]
-                key, df, counts = (lang, term), 0, {}
-                if len(done) >= 20_000:
-                    yield from _rows(done)
-                    done = {}
-            df += n
-            for s, k in zip(sources, times):
-                counts[s] = counts.get(s, 0) + k
-    if key is not None:
-        done[key[0], key[1].encode()] = [df, counts]
-    yield from _rows(done)
+        for text, lang, source in zip(batch["text"], batch["lang"].to_pylist(), batch["source"].to_pylist()):
+            df, counts = tables.setdefault((lang, source), (Counter(), Counter()))
+            terms = text.as_py().translate(TERM_BYTES).split()
+            counts.update(terms)
+            df.update(dict.fromkeys(terms).keys())
+            folded += 1
+            if folded % 32 == 0 and sum(len(c) for _, c in tables.values()) >= SPILL_COUNTS:
+                yield from _rows(tables)
+                tables.clear()
+    yield from _rows(tables)
 
 
 def stripes(documents: DataFrame, least_docs: int) -> DataFrame:
-    """``lang, term, df, sources, counts`` of the terms that at least ``least_docs`` documents of a language have."""
+    """``lang, term, source, n, everywhere`` of the terms that at least ``least_docs`` documents of a language have.
+
+    ``n`` counts the term in the source, ``everywhere`` in the language.  One shuffle, by term: a term has at
+    most one row for each source once they are added up, however many tasks met it.
+    """
     workers_import(documents.sparkSession)
     rows = documents.select(
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
-    spilled = rows.mapInArrow(_fold, _STRIPES)
-    merged = spilled.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(_merge, _STRIPES)
-    return merged.filter(F.col("df") >= least_docs)
+    spilled = rows.mapInArrow(_fold, _STRIPES).repartition("lang", "term")
+    merged = spilled.groupBy("lang", "term", "source").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
+    stripe = Window.partitionBy("lang", "term")
+    whole = merged.select("lang", "term", "source", "n", F.sum("df").over(stripe).alias("df"), F.sum("n").over(stripe).alias("everywhere"))
+    return whole.filter(F.col("df") >= least_docs).drop("df")
 
 
 def _rate(count: Column | str, words: str) -> Column:
@@ -109,52 +84,78 @@ def _gap(p: Column | str, q: Column | str) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
+def _gaps(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) ** 2 // q
+
+
+def _runs(table: pa.Table) -> np.ndarray:
+    """Where each run of the same language and term starts."""
+    if not table.num_rows:
+        return np.zeros(0, np.int64)
+    parted = [pc.not_equal(table[c].slice(1), table[c].slice(0, table.num_rows - 1)) for c in ("lang", "term")]
+    return np.concatenate([[0], np.flatnonzero(pc.or_(*parted).to_numpy()) + 1])
+
+
+class _PairSums:
+    """Sums for pairs of sources of a language, by number."""
+
+    def __init__(self) -> None:
+        self.place, self.codes, self.values = {}, [], []
+
+    def add(self, stripes: pa.Table) -> None:
+        """What the terms of whole stripes change for each pair of sources that has them."""
+        starts = _runs(stripes)
+        length = np.diff(np.append(starts, stripes.num_rows))
+        partners, first = np.repeat(length, length), np.repeat(starts, length)
+        p, zero = (stripes[c].to_numpy() for c in ("p", "zero"))
+        pairs = zip(stripes["lang"].to_pylist(), stripes["source"].to_pylist())
+        at = np.array([self.place.setdefault(x, len(self.place)) for x in pairs], np.int64)
+        ends = np.cumsum(partners)
+        row = 0
+        while row < len(ends):
+            upto = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + PAIRS, "right")))
+            n = partners[row:upto]
+            a = np.repeat(np.arange(row, upto), n)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[row:upto], n)
+            a, b = a[a != b], b[a != b]
+            self.codes.append((at[a] << 31) + at[b])
+            self.values.append(_gaps(p[a], p[b]) - _gaps(p[a], zero[b]) - _gaps(zero[a], p[b]) + _gaps(zero[a], zero[b]))
+            self.add_up()
+            row = upto
+
+    def add_up(self) -> None:
+        code, back = np.unique(np.concatenate(self.codes), return_inverse=True)
+        value = np.zeros(len(code), np.int64)
+        np.add.at(value, back, np.concatenate(self.values))
+        self.codes, self.values = [code], [value]
+
+    def rows(self) -> pa.RecordBatch:
+        names, code = list(self.place), self.codes[0] if self.codes else np.zeros(0, np.int64)
+        value = self.values[0] if self.values else code
+        text = [[names[c >> 31][0] for c in code], [names[c >> 31][1] for c in code], [names[c & (1 << 31) - 1][1] for c in code]]
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.string()) for x in text), pa.array(value)], ["lang", "source", "item", "moved"])
+
+
 def _folded_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Corrections of source pairs, added up over the stripes of a task; rows come sorted by term."""
-    place, codes, values, held = {}, [], [], 0
-
-    def close(lang: str, stripe: list[tuple]) -> None:
-        at = np.array([place.setdefault((lang, s), len(place)) for s, _, _ in stripe], np.int64)
-        p, zero = (np.array([x[i] for x in stripe], np.int64) for i in (1, 2))
-        gap = lambda a, b: (a[:, None] - b) ** 2 // b
-        codes.append(((at[:, None] << 31) + at).ravel())
-        values.append((gap(p, p) - gap(p, zero) - gap(zero, p) + gap(zero, zero)).ravel())
-
-    def add_up() -> None:
-        if codes:
-            code, back = np.unique(np.concatenate(codes), return_inverse=True)
-            value = np.zeros(len(code), np.int64)
-            np.add.at(value, back, np.concatenate(values))
-            codes[:], values[:] = [code], [value]
-
-    def rows() -> pa.RecordBatch:
-        add_up()
-        names = list(place)
-        flat = [(*names[c >> 31], names[c & (1 << 31) - 1][1], v) for c, v in zip(codes[0].tolist(), values[0].tolist())] if codes else []
-        text = [pa.array([x[i] for x in flat], pa.string()) for i in range(3)]
-        return pa.RecordBatch.from_arrays([*text, pa.array([x[3] for x in flat], pa.int64())], ["lang", "source", "item", "moved"])
-
-    key, stripe = None, []
+    sums, open_stripe = _PairSums(), None
     for batch in batches:
-        for lang, term, *entry in zip(*(batch[c].to_pylist() for c in ("lang", "term", "source", "p", "zero"))):
-            if (lang, term) != key:
-                if len(stripe) > 1:
-                    close(key[0], stripe)
-                    held += len(stripe) ** 2
-                key, stripe = (lang, term), []
-                if held >= SPILL_PAIRS:
-                    add_up()
-                    held = len(codes[0])
-                    if held >= SPILL_PAIRS // 2:
-                        yield rows()
-                        place, codes, values, held = {}, [], [], 0
-            stripe.append(entry)
-    if len(stripe) > 1:
-        close(key[0], stripe)
-    yield rows()
-
-
-def divergences(documents: DataFrame, least_docs: int = 3, ranks: int = RANKS) -> DataFrame:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([open_stripe, table]) if open_stripe is not None else table
+        starts = _runs(table)
+        last = int(starts[-1]) if len(starts) else 0
+        open_stripe = table.slice(last)
+        if last:
+            sums.add(table.slice(0, last).combine_chunks())
+        if sums.codes and len(sums.codes[0]) >= PAIRS // 2:
+            yield sums.rows()
+            sums = _PairSums()
+    if open_stripe is not None and open_stripe.num_rows:
+        sums.add(open_stripe.combine_chunks())
+    yield sums.rows()
+
+
+def divergences(documents: DataFrame, least_docs: int = 3, ranks: int = 200) -> DataFrame:
     """``lang, source, part, item, value, rank`` of every group of a language and source.
 
     Part ``pair`` ranks all other sources of the language by divergence, part ``term`` the ``ranks`` terms
@@ -162,14 +163,11 @@ def divergences(documents: DataFrame, least_docs: int = 3, ranks: int = RANKS) -
     kept terms gets its pairs too, of value 0 if the language keeps no term.  All arithmetic is on whole numbers.
     Rows that repeat count again; no documents give no rows; other columns are not read.
     """
-    kept = keep(stripes(documents, least_docs), "stripes")
-    everywhere = F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x)
-    flat = kept.select("lang", "term", everywhere.alias("everywhere"), F.explode(F.arrays_zip("sources", "counts")).alias("at")).select(
-        "lang", "term", "everywhere", F.col("at.sources").alias("source"), F.col("at.counts").alias("n"))
+    flat = keep(stripes(documents, least_docs), "stripes")
     # every sum is made in the tasks first, however many documents a group has
     groups = documents.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
-    size = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum(everywhere).alias("words"))
     own = flat.groupBy("lang", "source").agg(F.sum("n").alias("own"), F.count(F.lit(1)).alias("held"))
+    size = flat.groupBy("lang", "term").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("n").alias("words"))
     totals = keep(
         groups.join(size, "lang", "left").join(own, ["lang", "source"], "left").na.fill(0).select(
             "lang", "source", "terms", "held", (F.col("own") + F.col("terms")).alias("base"), (F.col("words") + F.col("terms")).alias("lang_base")
