@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    divergence, exact_dedup, filter_audit, mixing, packing, quality, simhash, surrogates, token_counts, topk, toxicity, wavelet,
+    divergence, exact_dedup, filter_audit, mixing, ngram_lm, packing, quality, simhash, surrogates, token_counts, topk, toxicity, wavelet,
 )
 from tidemark.llm.common import read
 
@@ -65,6 +65,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interaction_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.scores(read(spark, sf_dir, "documents"), folds=7, fold=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
