@@ -22,6 +22,15 @@ def test_packed_arrays_come_back_and_large_counts_nearly():
     assert ngram_lm._decoded(ngram_lm._coded(counts)) == pytest.approx(counts, rel=6e-4)
 
 
+def test_words_are_runs_without_blanks():
+    texts = [(t or "").encode() for _, t, *_ in ROWS] + [b"", b" a\x0bB\x0c\r\n", b"x\x00y \xc2\xa0Z\xc3\x89 \x1c"]
+    lengths, coded = ngram_lm._words(texts)
+    words = [t.lower().split() for t in texts]
+    assert lengths.tolist() == [len(w) for w in words]
+    assert coded.to_pylist() == [w for text in words for w in text]
+    assert ngram_lm._words([])[0].tolist() == [] and ngram_lm._words([b""])[0].tolist() == [0]
+
+
 @pytest.mark.parametrize("n, top", [(0, 1), (1, 1), (1, 10**12), (7, 7), (3000, 3001), (5000, 10**6), (2000, 2**45)])
 def test_sequences_return_values_and_find_them(n, top):
     pick = np.random.default_rng(n)

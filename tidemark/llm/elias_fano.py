@@ -5,10 +5,12 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pandas as pd
 
 #: Place of the k-th set bit in a byte, at 8 * byte + k.
 _BIT = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
-_WORD = np.uint64(64)
+#: Numbers looked up at a time.
+PART = 1 << 15
 _EACH_2, _EACH_4, _EACH_8 = np.uint64(0x5555555555555555), np.uint64(0x3333333333333333), np.uint64(0x0F0F0F0F0F0F0F0F)
 _OCTETS, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 
@@ -22,13 +24,16 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, high: np.ndarray, ones: np.ndarray, low: np.ndarray) -> None:
         self.n, self.low_bits, self.high, self.ones, self.low = n, low_bits, high, ones, low
+        self._zeros = None
+        #: The low parts as numbers that start at any byte.
+        self._octets = np.ndarray((max(0, low.nbytes - 7),), np.uint64, low, strides=(1,))
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
         values = np.asarray(values, np.int64)
         n = len(values)
         top = int(values[-1]) if n else 0
-        low_bits = max(0, ((top + 1) // n).bit_length() - 1) if n else 0
+        low_bits = min(56, max(0, ((top + 1) // n).bit_length() - 1)) if n else 0
         bits = np.zeros(-(-(n + (top >> low_bits) + 2) // 64) * 64, np.uint8)
         bits[(values >> low_bits) + np.arange(n)] = 1
         high = np.packbits(bits, bitorder="little").view(np.uint64)
@@ -58,7 +63,9 @@ class EliasFano:
     def _before_bucket(self, high: np.ndarray) -> np.ndarray:
         """How many values have a high part below ``high``."""
         at = np.maximum(high - 1, 0)
-        zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+        if self._zeros is None:
+            self._zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones
+        zeros = self._zeros
         at = np.minimum(at, len(self.high) * 64 - self.n - 1)
         word = np.searchsorted(zeros, at, "right") - 1
         return np.where(high > 0, self._select(word, at - zeros[word], True) - at, 0)
@@ -79,9 +86,8 @@ class EliasFano:
         if not self.low_bits:
             return np.zeros(len(i), np.int64)
         bit = i * self.low_bits
-        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
-        both = (self.low[word] >> shift) | np.where(shift > 0, self.low[word + 1] << ((_WORD - shift) & np.uint64(63)), np.uint64(0))
-        return (both & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+        held = self._octets[bit >> 3] >> (bit & 7).astype(np.uint64)
+        return (held & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
     def at(self, i: np.ndarray) -> np.ndarray:
         """The values at places ``i``."""
@@ -95,6 +101,10 @@ class EliasFano:
         x = np.asarray(x, np.int64)
         if not self.n or not len(x):
             return np.full(len(x), -1, np.int64)
+        # a part at a time stays in the processor's cache
+        return np.concatenate([self._find(x[i: i + PART]) for i in range(0, len(x), PART)])
+
+    def _find(self, x: np.ndarray) -> np.ndarray:
         high, low = x >> self.low_bits, x & ((1 << self.low_bits) - 1)
         first = self._before_bucket(high)
         end = self._bucket_end(first, high)
@@ -147,12 +157,14 @@ class Level:
         ask = np.flatnonzero((group >= 0) & (member >= 0))
         if not len(ask) or not self.members.n:
             return found
-        of, back = np.unique(group[ask], return_inverse=True)
-        start, end = self.pointers.at(of), self.pointers.at(of + 1)
-        base = np.where(start > 0, self.members.at(np.maximum(start - 1, 0)) + 1, 0)
-        top = np.where(end > start, self.members.at(np.maximum(end - 1, 0)), -1)
-        value = base[back] + member[ask]
-        inside = np.flatnonzero(value <= top[back])
+        # where the groups asked for begin and end, and what their members are raised by
+        edge = np.zeros(self.pointers.n, bool)
+        edge[group[ask]] = edge[group[ask] + 1] = True
+        pointer = self.pointers.at(np.flatnonzero(edge))
+        raised = np.where(pointer > 0, self.members.at(np.maximum(pointer - 1, 0)) + 1, 0)
+        back = (np.cumsum(edge) - 1)[group[ask]]
+        value, top = raised[back] + member[ask], raised[back + 1] - 1
+        inside = np.flatnonzero(value <= top)
         found[ask[inside]] = self.members.find(value[inside])
         return found
 
@@ -203,11 +215,11 @@ class Trie:
         levels = [Level(*coded[i: i + 2]) for i in (2, 4, 6)]
         return cls(coded[0], coded[1], *levels, parts[32:])
 
-    def probability(self, first: np.ndarray, middle: np.ndarray, last: np.ndarray, single: np.ndarray) -> np.ndarray:
-        """P(last | first middle), where ``single`` is P(last) without context."""
-        ids, back = np.unique(np.concatenate([first, middle, last]), return_inverse=True)
-        first, middle, last = self.words.find(ids)[back].reshape(3, -1)
-        group = np.where(middle >= 0, self.middles.find(np.maximum(middle, 0)), -1)
+    def probability(self, ids: np.ndarray, first: np.ndarray, middle: np.ndarray, last: np.ndarray, single: np.ndarray) -> np.ndarray:
+        """P(last | first middle), words given by their place in ``ids``; ``single`` is P(last) without context."""
+        word = self.words.find(ids)
+        first, last = word[first], word[last]
+        group = np.where(word >= 0, self.middles.find(np.maximum(word, 0)), -1)[middle]
         after, before = self.after.find(group, last), self.before.find(group, first)
         both = np.flatnonzero((after >= 0) & (before >= 0))
         place = after[both] - self.after.first(group[both])
@@ -225,8 +237,23 @@ class Trie:
         return lower
 
 
-def build(first: np.ndarray, middle: np.ndarray, last: np.ndarray, spread: np.ndarray, discount: float) -> Trie:
-    """The trie of the trigrams given, one entry for each occurrence.
+def places(*columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct numbers of all columns in order, and each column as places among them."""
+    code, ids = pd.factorize(np.concatenate(columns))
+    order = np.argsort(ids)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return ids[order], np.split(place[code], np.cumsum([len(c) for c in columns])[:-1])
+
+
+def _renumbered(held: np.ndarray, *columns: np.ndarray) -> list[np.ndarray]:
+    """Columns of numbers as places among the numbers marked in ``held``."""
+    place = np.cumsum(held) - 1
+    return [place[c] for c in columns]
+
+
+def build(ids: np.ndarray, first: np.ndarray, middle: np.ndarray, last: np.ndarray, spread: np.ndarray, discount: float) -> Trie:
+    """The trie of the trigrams given, one entry for each occurrence, words by their place in ``ids``, which rise.
 
     Absolute discounting: ``discount`` of each seen n-gram's count goes to the next shorter context.
     Rows of ``spread`` are (middle, first or -1, occurrences, kinds) of what follows contexts that are spread over several
@@ -234,13 +261,17 @@ def build(first: np.ndarray, middle: np.ndarray, last: np.ndarray, spread: np.nd
     """
     of, by, n, kinds = spread.reshape(-1, 4).T
     paired = by >= 0
-    words = np.unique(np.concatenate([first, middle, last, of, by[paired]]))
-    first, middle, last, of = (np.searchsorted(words, x) for x in (first, middle, last, of))
-    middles = np.unique(np.concatenate([middle, of]))
-    group, of = np.searchsorted(middles, middle), np.searchsorted(middles, of)
+    of, by = np.searchsorted(ids, of), np.searchsorted(ids, by[paired])
+    used, inner = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+    for x in (first, middle, last, of, by):
+        used[x] = True
+    inner[middle] = inner[of] = True
+    words = ids[used]
+    group, of_group = _renumbered(inner, middle, of)
+    first, last, by, middles = _renumbered(used, first, last, by, np.flatnonzero(inner))
 
     after_key, after_of, after_n = np.unique(group << 32 | last, return_inverse=True, return_counts=True)
-    own = of[paired] << 32 | np.searchsorted(words, by[paired])
+    own = of_group[paired] << 32 | by
     before_key, before_of = np.unique(np.concatenate([group << 32 | first, own]), return_inverse=True)
     before_of = before_of[: len(group)]
     after_group, before_group = after_key >> 32, before_key >> 32
@@ -253,7 +284,7 @@ def build(first: np.ndarray, middle: np.ndarray, last: np.ndarray, spread: np.nd
 
     n2, kinds2 = np.bincount(group, minlength=len(middles)), np.bincount(after_group, minlength=len(middles))
     n3, kinds3 = np.bincount(before_of, minlength=len(before_key)), np.bincount(context, minlength=len(before_key))
-    n2[of[~paired]], kinds2[of[~paired]] = n[~paired], kinds[~paired]
+    n2[of_group[~paired]], kinds2[of_group[~paired]] = n[~paired], kinds[~paired]
     place = np.searchsorted(before_key, own)
     n3[place], kinds3[place] = n[paired], kinds[paired]
     codes = [

@@ -4,7 +4,7 @@ Documents are cut into blocks that a task works on at once; blocks and shares se
 messages, which Spark partitions, shuffles and sorts:
 
 1. A block asks for its distinct words, with their counts in training documents.  A word share adds the counts
-   up, numbers its words and answers with numbers and counts.
+   up, numbers its words from frequent to rare and answers with numbers and counts.
 2. A block turns its texts into numbers and sends each trigram to the share of its middle word.  Middle words
    that are too frequent for one share are spread by last word; what follows them is summed by Spark first.
 3. A trigram share builds its trie from training trigrams, writes it to a temporary file, maps that into
@@ -16,8 +16,8 @@ Every step holds one block, one message or one share at a time, and the numbers
 
 from __future__ import annotations
 
-import math
 import struct
+import tempfile
 import zlib
 from collections.abc import Iterator
 from itertools import groupby
@@ -28,18 +28,20 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import dealt, workers_import
-from tidemark.llm.elias_fano import build, mapped
+from tidemark.llm.elias_fano import build, mapped, places
 from tidemark.session import keep
 
 #: A block ends with the document that brings it to this many words.
-BLOCK_WORDS = 1 << 20
-#: Bytes of text for each share of words and of trigrams, some million distinct words and trigrams.
-WORD_SHARE, TRIGRAM_SHARE = 64 << 20, 8 << 20
+BLOCK_WORDS = 1 << 19
+#: Bytes of text for each share of words and of trigrams, half a million distinct words and a million trigrams.
+WORD_SHARE, TRIGRAM_SHARE = 32 << 20, 5 << 20
 #: A middle word with more training occurrences than this is spread over several shares.
-HOT = 1 << 20
+HOT = 2 << 20
+#: A trie ends with the middle word that brings it to this many trigrams; so many are looked up at a time.
+TRIE = 1 << 17
 DISCOUNT = 0.75
 #: Sums of logarithms are counted in units of 1 / UNIT.
-UNIT = 4096
+UNIT = 1024
 #: Counts up to here are sent as they are, larger ones in steps of a logarithm.
 EXACT_COUNT, COUNT_STEP = 1 << 15, 1e-3
 
@@ -53,14 +55,14 @@ _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 
 # messages
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays of whole numbers in few bytes: one plane for each byte of a number, compressed."""
     head, planes = [struct.pack("<B", len(arrays))], []
     for x in arrays:
         x = np.ascontiguousarray(x)
         head.append(struct.pack("<3sq", x.dtype.str.encode(), len(x)))
         planes.append(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes())
-    return b"".join(head) + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+    return b"".join(head) + zstandard.ZstdCompressor(level).compress(b"".join(planes))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
@@ -118,22 +120,38 @@ def _smallest(x: np.ndarray) -> np.ndarray:
 
 # blocks
 
+def _words(texts: list[bytes]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Words of each text, and all words, A to Z in lower case."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    octets = np.frombuffer(b" ".join([*texts, b""]).lower(), np.uint8)
+    inner = (octets != 32) & ((octets < 9) | (octets > 13))
+    turns = np.diff(inner.view(np.int8), prepend=np.int8(0))
+    starts, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+    lengths = np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    letters = octets[inner]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    return lengths, words.dictionary_encode()
+
+
 class _Block:
-    """Whole documents as places in a list of their distinct words, which is ordered by word share."""
+    """Whole documents as places in a list of their distinct words, from frequent to rare."""
 
     def __init__(self, number: int, ids: list, held: list, texts: list[bytes], shares: int) -> None:
         self.number, self.ids = number, ids
         self.held = np.array(held, bool)
-        words = [text.lower().split() for text in texts]
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
-        coded = pa.array([w for text in words for w in text], pa.binary()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        share = np.fromiter((zlib.crc32(w) % shares for w in distinct), np.int64, len(distinct))
-        order = np.argsort(share, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.words, self.shares = [distinct[i] for i in order], share[order]
-        self.tokens = place[coded.indices.to_numpy()] if len(order) else np.zeros(0, np.int64)
+        self.lengths, coded = _words(texts)
+        found, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        order = np.argsort(-np.bincount(found, minlength=len(distinct)), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.words, self.tokens = [distinct[i] for i in order.tolist()], place[found]
+        share = np.fromiter(map(zlib.crc32, self.words), np.int64, len(distinct)) % shares
+        #: Places of the words that each share is asked for, share by share, and where each share's begin.
+        self.asked = np.argsort(share, kind="stable")
+        self.cuts = np.searchsorted(share[self.asked], np.arange(shares + 1))
+        self.share = _smallest(share)
         self.mark = zlib.crc32(b" ".join(self.words), zlib.crc32(self.lengths.tobytes()))
 
 
@@ -156,46 +174,39 @@ def _blocks(batches: Iterator[pa.RecordBatch], shares: int, most: int) -> Iterat
 
 def _ask_words(shares: int, most: int):
     def asked(block: _Block) -> Iterator[tuple]:
-        training = np.repeat(~block.held, block.lengths)
-        counts = np.bincount(block.tokens[training], minlength=len(block.words))
-        cuts = np.searchsorted(block.shares, np.arange(shares + 1))
-        for share in np.flatnonzero(np.diff(cuts)).tolist():
-            lo, hi = int(cuts[share]), int(cuts[share + 1])
-            yield _message(share, 1, block.number, pack(np.frombuffer(b" ".join(block.words[lo:hi]), np.uint8), _smallest(counts[lo:hi])), block.mark)
+        counts = np.bincount(block.tokens[np.repeat(~block.held, block.lengths)], minlength=len(block.words))
+        for share in np.flatnonzero(np.diff(block.cuts)).tolist():
+            own = block.asked[block.cuts[share]: block.cuts[share + 1]]
+            words = b" ".join([block.words[i] for i in own.tolist()])
+            yield _message(share, 0, block.number, pack(np.frombuffer(words, np.uint8), _smallest(counts[own]), level=5), block.mark)
 
     return lambda batches: _batches(m for block in _blocks(batches, shares, most) for m in asked(block))
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The vocabulary of each word share: distinct words in order, with their counts."""
-    def counted() -> Iterator[tuple]:
-        for share, messages in _received(batches):
-            total: dict[bytes, int] = {}
-            for row in messages:
-                text, counts = unpack(row["a"])
-                for word, n in zip(text.tobytes().split(b" "), counts.tolist()):
-                    total[word] = total.get(word, 0) + n
-            words = sorted(total)
-            counts = np.array([total[w] for w in words], np.int64)
-            blob = pack(np.frombuffer(b" ".join(words), np.uint8), counts)
-            yield _message(share, 0, -1, blob, n=int((counts > 0).sum()), m=int(counts.sum()))
-
-    return _batches(counted())
-
-
 def _number_words(shares: int):
-    """Answers each block with the numbers and counts of the words it asked for."""
+    """Answers each block with the numbers and counts of the words it asked for; in between its questions wait on disk."""
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for share, messages in _received(batches):
-            place, counts = {}, None
-            for row in messages:
-                text, held = unpack(row["a"])
-                words = text.tobytes().split(b" ")
-                if row["kind"] == 0:
-                    place, counts = {w: i for i, w in enumerate(words)}, held
-                    continue
-                at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                yield _message(row["sender"], 0, share, pack(_smallest(at * shares + share + FIRST_WORD), _smallest(counts[at])), row["mark"])
+            total: dict[bytes, int] = {}
+            with tempfile.TemporaryFile() as waiting:
+                sizes = []
+                for row in messages:
+                    text, counts = unpack(row["a"])
+                    words = text.tobytes().split(b" ")
+                    for word, n in zip(words, counts.tolist()):
+                        total[word] = total.get(word, 0) + n
+                    waiting.write(row["a"])
+                    sizes.append((len(row["a"]), row["sender"], row["mark"]))
+                ordered = sorted(total, key=lambda w: (-total[w], w))
+                counts = np.array([total[w] for w in ordered], np.int64)
+                place = {w: i for i, w in enumerate(ordered)}
+                del total, ordered
+                yield _message(-1, 1, share, n=int((counts > 0).sum()), m=int(counts.sum()))
+                waiting.seek(0)
+                for size, sender, mark in sizes:
+                    words = unpack(waiting.read(size))[0].tobytes().split(b" ")
+                    at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+                    yield _message(sender, 0, share, pack(_smallest(at * shares + share + FIRST_WORD), _smallest(counts[at])), mark)
 
     return lambda batches: _batches(answered(batches))
 
@@ -205,7 +216,7 @@ def _payload(shares: int, most: int):
     def packed(block: _Block) -> tuple:
         missing = np.array([x is None for x in block.ids], np.uint8)
         ids = np.array([x or 0 for x in block.ids], np.int64)
-        blob = pack(ids, missing, block.held.astype(np.uint8), block.lengths, _smallest(block.tokens))
+        blob = pack(ids, missing, block.held.astype(np.uint8), block.lengths, block.tokens, block.share)
         return _message(block.number, 1, -1, blob, block.mark)
 
     return lambda batches: _batches(packed(block) for block in _blocks(batches, shares, most))
@@ -220,36 +231,51 @@ class _Corpus:
         self.outcomes = self.tokens + self.kinds + 1
 
 
+def _answer_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Puts what a block's words were answered into the block."""
+    def found() -> Iterator[tuple]:
+        for number, messages in _received(batches):
+            *answers, payload = messages
+            if any(row["mark"] != payload["mark"] for row in answers):
+                raise RuntimeError("the documents came in another order when they were read again")
+            *rest, share = unpack(payload["a"])
+            numbers, counts = np.empty(len(share), np.int64), np.empty(len(share), np.int64)
+            for row in answers:
+                own = np.flatnonzero(share == row["sender"])
+                numbers[own], counts[own] = unpack(row["a"])
+            yield _message(number, 1, -1, pack(*rest, _smallest(numbers), _smallest(counts)))
+
+    return _batches(found())
+
+
 class _Numbered:
-    """A block after its words were answered: one place for each token, ends included."""
-
-    def __init__(self, payload: dict, answers: list[dict], corpus: _Corpus) -> None:
-        self.ids, self.missing, held, lengths, tokens = unpack(payload["a"])
-        if any(row["mark"] != payload["mark"] for row in answers):
-            raise RuntimeError("the documents came in another order when they were read again")
-        parts = [unpack(row["a"]) for row in answers]
-        number = np.concatenate([*(p[0].astype(np.int64) for p in parts), [END]])
-        count = np.concatenate([*(p[1].astype(np.int64) for p in parts), [corpus.docs]])
-        docs = len(lengths)
+    """A block with numbered words: arrays of one place for each token, ends included."""
+
+    def __init__(self, row: dict, corpus: _Corpus) -> None:
+        self.ids, self.missing, held, lengths, tokens, numbers, counts = unpack(row["a"])
+        docs, ends = len(lengths), np.cumsum(lengths + 1) - 1
         self.held, self.lengths = held.astype(bool), lengths + 1
         self.doc = np.repeat(np.arange(docs), self.lengths)
-        ends = np.cumsum(self.lengths) - 1
-        at = np.full(len(self.doc), len(number) - 1, np.int64)
+        # two more words: the end and the beginning of a text
+        end, begin = len(numbers), len(numbers) + 1
+        self.number = np.concatenate([numbers.astype(np.int64), [END, BEGIN]])
+        self.count = np.concatenate([counts.astype(np.int64), [corpus.docs, corpus.docs]])
+        self.last = np.full(len(self.doc), end, np.int64)
         inner = np.ones(len(self.doc), bool)
         inner[ends] = False
-        at[inner] = tokens
-        self.last, self.count = number[at], count[at]
+        self.last[inner] = tokens
         starts = ends - self.lengths + 1
-        self.middle, self.middle_count = np.roll(self.last, 1), np.roll(self.count, 1)
-        self.middle[starts], self.middle_count[starts] = BEGIN, corpus.docs
+        self.middle = np.roll(self.last, 1)
+        self.middle[starts] = begin
         self.first = np.roll(self.middle, 1)
-        self.first[starts] = BEGIN
-        mixed = _mixed(self.middle)
-        spread = self.middle_count // corpus.hot + 1
-        self.hot = spread > 1
-        self.to = np.where(self.hot, mixed + _mixed(self.last) % spread, mixed) % corpus.shares
-        base = np.log10((self.count + 1) / corpus.outcomes)
-        self.base, self.known = np.add.reduceat(base, starts), np.add.reduceat((self.count > 0).astype(np.int64), starts)
+        self.first[starts] = begin
+        mixed, spread = _mixed(self.number), self.count // corpus.hot + 1
+        self.to = mixed[self.middle] % corpus.shares
+        self.hot = np.flatnonzero(spread[self.middle] > 1)
+        middle = self.middle[self.hot]
+        self.to[self.hot] = (mixed[middle] + mixed[self.last[self.hot]] % spread[middle]) % corpus.shares
+        base = np.log10((self.count + 1) / corpus.outcomes)[self.last]
+        self.base, self.known = np.add.reduceat(base, starts), np.add.reduceat((self.count > 0).astype(np.int64)[self.last], starts)
 
 
 def _coded(count: np.ndarray) -> np.ndarray:
@@ -262,25 +288,26 @@ def _decoded(code: np.ndarray) -> np.ndarray:
     return np.where(code < EXACT_COUNT, code, EXACT_COUNT * np.exp((code - EXACT_COUNT) * COUNT_STEP))
 
 
-def _numbered(batches: Iterator[pa.RecordBatch], corpus: _Corpus) -> Iterator[tuple[int, _Numbered]]:
-    for number, messages in _received(batches):
-        *answers, payload = messages
-        yield number, _Numbered(payload, answers, corpus)
-
-
 def _send_trigrams(corpus: _Corpus):
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for number, block in _numbered(batches, corpus):
-            missing = block.missing.astype(np.uint8)
-            head = pack(block.ids, missing, block.held.astype(np.uint8), block.lengths, block.known, block.base.view(np.int64))
+        for number, messages in _received(batches):
+            block = _Numbered(next(messages), corpus)
+            head = pack(block.ids, block.missing, block.held.astype(np.uint8), block.lengths, block.known, block.base.view(np.int64))
             yield _message(-1 - number, 0, number, head)
-            order = np.lexsort((block.doc, block.middle, block.to))
+            order = np.argsort(block.to * len(block.number) + block.middle, kind="stable")
             cuts = np.searchsorted(block.to[order], np.arange(corpus.shares + 1))
-            mark = block.doc * 2 + block.held[block.doc]
-            code = _coded(block.count)
+            numbers, code, mark = _smallest(block.number), _coded(block.count), (block.doc * 2 + block.held[block.doc]).astype(np.int32)
             for share in np.flatnonzero(np.diff(cuts)).tolist():
                 own = order[cuts[share]: cuts[share + 1]]
-                yield _message(share, 1, number, pack(*(_smallest(x[own]) for x in (block.middle, block.first, block.last, mark)), code[own]))
+                middle = block.middle[own]
+                start = np.concatenate([[0], np.flatnonzero(np.diff(middle)) + 1])
+                run = np.diff(np.append(start, len(own)))
+                last = block.last[own]
+                # documents rise within a middle word: steps are small
+                steps = np.diff(mark[own], prepend=np.int32(0))
+                steps[start] = mark[own][start]
+                yield _message(share, 1, number, pack(
+                    numbers[middle[start]], run.astype(np.int32), numbers[block.first[own]], numbers[last], steps, code[last]))
 
     return lambda batches: _batches(sent(batches))
 
@@ -288,15 +315,48 @@ def _send_trigrams(corpus: _Corpus):
 def _hot_trigrams(corpus: _Corpus):
     """Trigrams of middle words that are spread: ``middle, first, last, to`` and how often training documents have them."""
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block in _numbered(batches, corpus):
-            own = np.flatnonzero(block.hot)
-            rows = np.stack([x[own] for x in (block.middle, block.first, block.last, block.to)], axis=1)
-            rows, back = np.unique(rows, axis=0, return_inverse=True)
-            n = np.bincount(back.ravel(), weights=~block.held[block.doc[own]], minlength=len(rows)).astype(np.int64)
-            for at in range(0, len(rows), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([*(pa.array(rows[part, i]) for i in range(4)), pa.array(n[part])], ["x", "y", "z", "to", "n"])
+        for _, messages in _received(batches):
+            block = _Numbered(next(messages), corpus)
+            own, words = block.hot, len(block.number)
+            pair, of = np.unique(block.middle[own] * words + block.first[own], return_inverse=True)
+            whole, at, back = np.unique(of * words + block.last[own], return_index=True, return_inverse=True)
+            n = np.bincount(back, weights=~block.held[block.doc[own]], minlength=len(whole)).astype(np.int64)
+            columns = [*(block.number[x[own][at]] for x in (block.middle, block.first, block.last)), block.to[own][at], n]
+            for start in range(0, len(whole), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[start: start + 100_000]) for c in columns], ["x", "y", "z", "to", "n"])
+
+    return found
+
 
+def _raised(steps: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Sums of ``steps`` that start anew with each run."""
+    total = np.cumsum(steps, dtype=np.int64)
+    start = np.cumsum(run) - run
+    return total - np.repeat(total[start] - steps[start], run)
+
+
+def _units(
+    first: np.ndarray, middle: np.ndarray, last: np.ndarray, training: np.ndarray, code: np.ndarray,
+    spread: np.ndarray, corpus: _Corpus, discount: float,
+) -> np.ndarray:
+    """Minus the logarithm of each trigram's probability, in units, from a trie for each range of middle words."""
+    order = np.argsort(middle, kind="stable")
+    ranked, found = middle[order], np.empty(len(order), np.int64)
+    start = 0
+    while start < len(order):
+        end = int(np.searchsorted(ranked, ranked[min(start + TRIE, len(order)) - 1], "right"))
+        own = order[start:end]
+        totals = spread[(spread[:, 0] >= ranked[start]) & (spread[:, 0] <= ranked[end - 1])]
+        ids, (*trigrams, _, _) = places(first[own], ranked[start:end], last[own], totals[:, 0], totals[:, 1][totals[:, 1] >= 0])
+        learn = training[own]
+        trie = mapped(build(ids, *(x[learn] for x in trigrams), totals, discount)) if learn.any() or len(totals) else None
+        for at in range(0, len(own), TRIE):
+            part = slice(at, at + TRIE)
+            chance = (_decoded(code[own[part]]) + 1) / corpus.outcomes
+            if trie:
+                chance = trie.probability(ids, *(x[part] for x in trigrams), chance)
+            found[own[part]] = np.round(-np.log10(np.minimum(chance, 1.0)) * UNIT)
+        start = end
     return found
 
 
@@ -315,17 +375,12 @@ def _score(corpus: _Corpus, discount: float):
                     senders.append(row["sender"])
             if not parts:
                 continue
-            ends = np.cumsum([len(p[0]) for p in parts])
-            middle, first, last, mark, code = (np.concatenate([p[i] for p in parts]) for i in range(5))
+            ends = np.cumsum([len(p[2]) for p in parts])
+            middle = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+            first, last, code = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 5))
+            mark = np.concatenate([_raised(p[4], p[1]) for p in parts])
             del parts
-            training = mark % 2 == 0
-            single = (_decoded(code) + 1) / corpus.outcomes
-            if training.any() or spread:
-                trie = mapped(build(*(x[training] for x in (first, middle, last)), np.array(spread, np.int64), discount))
-                chance = trie.probability(first, middle, last, single)
-            else:
-                chance = single
-            units = np.round(-np.log10(np.minimum(chance, 1.0)) * UNIT).astype(np.int64)
+            units = _units(first, middle, last, mark % 2 == 0, code, np.array(spread, np.int64).reshape(-1, 4), corpus, discount)
             start = 0
             for sender, end in zip(senders, ends.tolist()):
                 doc = mark[start:end] >> 1
@@ -381,19 +436,16 @@ def scores(
         return spark.createDataFrame([], _SCORES)
     word_shares, shares = dealt(size[0], word_share), dealt(size[0], trigram_share)
 
-    asks = keep(rows.mapInArrow(_ask_words(word_shares, block_words), _MESSAGE), "asks")
-    words = keep(_delivered(asks, word_shares).mapInArrow(_count_words, _MESSAGE), "words")
-    kinds, occurrences = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
-    corpus = _Corpus(size[1], occurrences, kinds, shares, hot)
-    answers = keep(_delivered(words.union(asks), word_shares).mapInArrow(_number_words(word_shares), _MESSAGE), "numbers")
     tasks = dealt(size[0], 4 * trigram_share)
-
-    def blocks() -> DataFrame:
-        return _delivered(answers.union(rows.mapInArrow(_payload(word_shares, block_words), _MESSAGE)), tasks)
-
-    sent = blocks().mapInArrow(_send_trigrams(corpus), _MESSAGE)
+    asked = _delivered(rows.mapInArrow(_ask_words(word_shares, block_words), _MESSAGE), word_shares)
+    answers = keep(asked.mapInArrow(_number_words(word_shares), _MESSAGE), "numbers")
+    kinds, occurrences = answers.filter("to < 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("m"), F.lit(0))).first()
+    corpus = _Corpus(size[1], occurrences, kinds, shares, hot)
+    payload = rows.mapInArrow(_payload(word_shares, block_words), _MESSAGE)
+    blocks = keep(_delivered(answers.filter("to >= 0").union(payload), tasks).mapInArrow(_answer_blocks, _MESSAGE), "blocks")
+    sent = blocks.mapInArrow(_send_trigrams(corpus), _MESSAGE)
     if occurrences + corpus.docs > hot:
-        sent = sent.unionByName(_spread_totals(blocks(), corpus))
+        sent = sent.unionByName(_spread_totals(blocks, corpus))
     scored = _delivered(sent, dealt(shares, 2)).mapInArrow(_score(corpus, discount), _MESSAGE)
     return _delivered(scored, tasks).mapInArrow(_add_up(corpus), _SCORES)
 
