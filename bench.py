@@ -118,15 +118,15 @@ def main() -> None:
         ),
         "quality_counters": lambda: contract.quality_counters(validated(strict)).first(),
         "latest_per_order": lambda: consume(q.newest(clean())),
-        "daily_metrics": lambda: consume(daily.daily_metrics(q.newest(clean()), ORDER_EVENTS, 2)),
+        "daily_metrics": lambda: consume(daily.daily_metrics(q.newest(clean()), ORDER_EVENTS)),
         "silver_merge_whole_table": whole_table_merge,
         "silver_merge_sliced": lambda: merge_three(broadcast_bytes=0),
         "silver_merge_small_batch": lambda: merge_three(),
         "gold_refresh_one_date": gold_one_date,
         "gold_refresh_all_dates": lambda: consume(
-            daily.refreshed_metrics(state, dates, ORDER_EVENTS, 2)
+            daily.refreshed_metrics(state, dates, ORDER_EVENTS, now)
         ),
-        "gold_recompute": lambda: consume(daily.daily_metrics_with_mark(state, ORDER_EVENTS, 2)),
+        "gold_recompute": lambda: consume(daily.daily_metrics_with_mark(state, ORDER_EVENTS, now)),
         "affected_dates_exact": lambda: consume(
             daily.affected_dates(state, stored.gold.read(), ORDER_EVENTS, "exact")
         ),

@@ -83,12 +83,13 @@ def _merge(target: str, source: str) -> str:
   WHERE s.orderId IS NULL OR NOT coalesce({_NEWER}, FALSE)"""
 
 
-# the last digits of a sum of doubles depend on the order of adding
-def _steady(total: str) -> str:
-    return f"CASE WHEN abs({total}) < 1e12 THEN round({total}, 4) ELSE {total} END"
+def _exact(x: str, scale: str = "1152921504606846976") -> str:
+    """The double nearest to the exact sum: whole numbers of 2^-60, and a text, which DuckDB rounds only once."""
+    units = f"sum(CAST(CASE WHEN isnan({x}) THEN 0 ELSE {x} * {scale} END AS HUGEINT))"
+    return f"CASE WHEN bool_or(isnan({x})) THEN 'NaN'::DOUBLE ELSE CAST(CAST({units} AS VARCHAR) AS DOUBLE) / any_value({scale}) END"
 
 
-_SUM = _steady("sum(amount)")
+_SUM = _exact("amount")
 
 
 def _daily(state: str, as_of: str | None = None, mark: bool = True) -> str:
@@ -379,7 +380,7 @@ def oracles() -> dict[str, str]:
     FROM events) WHERE place = 1""",
         "events_daily": (
             "SELECT CAST(ts AS DATE) AS event_date, count(event_id) AS events, "
-            f"{_steady('sum(value)')} AS total_value FROM events GROUP BY 1"
+            f"{_exact('value')} AS total_value FROM events GROUP BY 1"
         ),
         "stream_ingest_json": (
             "SELECT CASE WHEN _corrupt_record IS NULL THEN orderId END AS orderId, "
@@ -405,6 +406,7 @@ def oracles() -> dict[str, str]:
         "stream_ingest_arrays": (
             'SELECT orderId, customerId, amount, "timestamp", updatedAt, eventVersion FROM raw WHERE _corrupt_record IS NULL'
         ),
+        "gold_maintained": _daily("s3"),
         "gold_recomputed": _daily("s3", _AS_OF[2]),
         "merge_counts": " UNION ALL ".join(
             f"SELECT {day} AS day, count(*) FILTER (WHERE t.orderId IS NULL) AS inserted, "
@@ -419,12 +421,13 @@ def oracles() -> dict[str, str]:
   FROM times WHERE orderId <> '' AND customerId <> '' AND amount > 0 AND parsed_timestamp IS NOT NULL""",
         "breaker_quarantine": "SELECT *, FALSE AS merged FROM quarantine",
         "daily_metrics_extremes": f"""
-  SELECT order_date, count(orderId) AS totalOrders, {_SUM} AS totalRevenue FROM (
+  SELECT order_date, count(orderId) AS totalOrders, {_exact('amount', "(CASE WHEN day(order_date) = 3 THEN 1 ELSE 1152921504606846976 END)")} AS totalRevenue FROM (
     SELECT orderId, order_date, CASE WHEN day(order_date) = 1 THEN 0.004::DOUBLE
         WHEN day(order_date) = 2 AND length(orderId) = 3 THEN 'NaN'::DOUBLE
         WHEN day(order_date) = 3 THEN 144115188075855872::DOUBLE * length(orderId) ELSE amount END AS amount
     FROM latest) GROUP BY order_date""",
     }
+    out["stream_ingest_split"] = out["stream_ingest_json"]
     for code, predicate in _FIRES.items():
         out[f"rule_{code.lower()}"] = (
             'SELECT orderId, customerId, amount, "timestamp", updatedAt, eventVersion, ingest_timestamp '

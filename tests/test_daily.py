@@ -2,14 +2,20 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from tests.helpers import rows_of
 
+from tidemark.functions.sums import PARTS
 from tidemark.operators.daily import (
     affected_dates,
+    changes_by_date,
     daily_metrics,
     daily_metrics_with_mark,
+    daily_metrics_with_state,
     daily_view,
+    maintained_metrics,
     refresh,
+    refreshed_metrics,
     restrict_to_dates,
 )
 from tidemark.spec import ORDER_EVENTS
@@ -95,3 +101,63 @@ def test_moved_order_is_missed_by_ingest_marks_and_found_by_exact(spark):
     assert rows_of(affected_dates(moved, gold, ORDER_EVENTS, "exact"), "order_date") == [
         (date(2023, 10, 28),), (date(2023, 10, 30),)
     ]
+
+
+# metrics that follow from changes
+
+CHANGES = f"{STATE}, _previous_date date, _previous_measure double, _previous_mark timestamp"
+BEFORE = {"date": "_previous_date", "measure": "_previous_measure", "mark": "_previous_mark"}
+
+
+def kept(spark, df):
+    """Rows as they are now, without their history."""
+    return spark.createDataFrame(df.collect(), df.schema)
+
+
+def test_changes_give_the_metrics_of_a_full_recompute(spark):
+    rng = random.Random(5)
+    orders = {}
+    day = lambda: date(2026, 2, rng.randint(1, 6))
+    amount = lambda: rng.choice([0.1, 0.2, 1e16, -1e16, float(rng.randint(1, 9)), None, float("nan"), float("inf")][: rng.choice([5, 6, 8])])
+    metrics, settled = None, 0
+    for run in range(6):
+        changes = []
+        # the third run says it came before all others, so that latest marks are taken away
+        arrived = datetime(2026, 1, 1) + timedelta(days=run if run != 3 else -9)
+        for key in {f"o{rng.randint(0, 40)}" for _ in range(25)}:
+            old = orders.get(key)
+            orders[key] = (key, "c", amount(), day(), arrived)
+            changes.append((*orders[key], *((old[3], old[2], old[4]) if old else (None, None, None))))
+        now = state(spark, *orders.values())
+        whole = kept(spark, daily_metrics_with_state(now, ORDER_EVENTS))
+        if metrics is not None:
+            delta = changes_by_date(spark.createDataFrame(changes, CHANGES), ORDER_EVENTS, BEFORE)
+            fresh, again = maintained_metrics(metrics, delta, ORDER_EVENTS)
+            again = kept(spark, again)
+            fresh = kept(spark, fresh.unionByName(refreshed_metrics(now, again, ORDER_EVENTS)))
+            rest = metrics.join(delta.select("order_date"), "order_date", "left_anti")
+            metrics = kept(spark, rest.unionByName(fresh))
+            columns = [*METRICS, "source_max_ingest_timestamp", "_rows"]
+            assert repr(rows_of(metrics, *columns)) == repr(rows_of(whole, *columns))
+            settled += delta.select("order_date").distinct().count() - again.count()
+            assert run != 3 or again.count()
+        else:
+            metrics = whole
+    assert settled > 10
+
+
+def test_settled_dates_read_no_row_of_the_table(spark):
+    metrics = daily_metrics_with_state(state(spark, *FIRST), ORDER_EVENTS)
+    moved = ("2", "c2", 10.0, date(2023, 10, 27), datetime(2023, 10, 29), date(2023, 10, 28), 150.0, datetime(2023, 10, 28, 10))
+    fresh, again = maintained_metrics(metrics, changes_by_date(spark.createDataFrame([moved], CHANGES), ORDER_EVENTS, BEFORE), ORDER_EVENTS)
+    assert rows_of(fresh, *METRICS) == [(date(2023, 10, 27), 2, 110.0)]
+    # the other date lost its latest mark, and as it happens its last row
+    assert rows_of(again, "order_date") == [(date(2023, 10, 28),)]
+
+
+def test_metrics_from_before_their_state_was_kept_are_read_again(spark):
+    metrics = daily_metrics_with_state(state(spark, *FIRST), ORDER_EVENTS).withColumns(
+        {"_rows": F.lit(None).cast("long"), "_sum_parts": F.lit(None).cast(PARTS)})
+    change = ("9", "c", 1.0, date(2023, 10, 27), datetime(2023, 11, 1), None, None, None)
+    _, again = maintained_metrics(metrics, changes_by_date(spark.createDataFrame([change], CHANGES), ORDER_EVENTS, BEFORE), ORDER_EVENTS)
+    assert rows_of(again, "order_date") == [(date(2023, 10, 27),)]

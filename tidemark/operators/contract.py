@@ -124,17 +124,19 @@ def rejections(rejected_events: DataFrame, entity: Entity, as_of: Column | None
 
 def quality_counters(validated: DataFrame, *by: str) -> DataFrame:
     """All counts of a validation run in one pass, overall or per group."""
-    found = validated.select(
-        *by, F.size(VIOLATIONS).alias("_reasons"), was_rescued().alias("_rescued")
-    )
-    bad = F.col("_reasons") > 0
-    return found.groupBy(*by).agg(
+    return validated.groupBy(*by).agg(*quality_counts())
+
+
+def quality_counts() -> list[Column]:
+    """The counts of a validation run; also to be counted while its rows are written."""
+    reasons = F.size(VIOLATIONS)
+    return [
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(bad).alias("bad_records"),
-        F.count_if(bad & F.col("_rescued")).alias("rescued_records"),
-        F.count_if(~bad).alias("clean_records"),
-        F.coalesce(F.sum("_reasons"), F.lit(0)).cast("bigint").alias("quarantine_rows"),
-    )
+        F.count_if(reasons > 0).alias("bad_records"),
+        F.count_if((reasons > 0) & was_rescued()).alias("rescued_records"),
+        F.count_if(reasons == 0).alias("clean_records"),
+        F.coalesce(F.sum(reasons), F.lit(0)).cast("bigint").alias("quarantine_rows"),
+    ]
 
 
 def quarantine_summary(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import optional_trusted_name, require_trusted_name
 from tidemark.operators.audit import stage_alerts, stage_audit_rows
-from tidemark.operators.upsert import BROADCAST_BYTES
+from tidemark.operators.daily import METRIC_STATE
+from tidemark.operators.upsert import BROADCAST_BYTES, PREVIOUS_MARK, PREVIOUS_MEASURE
 from tidemark.sources import tables
 from tidemark.sources.tables import SlicedTable
 from tidemark.spec import ORDER_EVENTS, Contract, Entity
@@ -30,10 +31,10 @@ class Settings:
     stage_audit: str = ""
     upkeep_audit: str = ""
 
-    # ingest: "json" or "rescue" (keeps whatever does not fit the schema); layout "lines" splits
-    # files between tasks, "auto" reads each file whole and also takes files that hold an array
+    # ingest: "json" or "rescue" (keeps whatever does not fit the schema); layout "split" takes arrays, single
+    # objects and lines and reads them by ranges, "lines" only lines but in one pass, "auto" each file as a whole
     mode: str = "rescue"
-    layout: str = "lines"
+    layout: str = "split"
     multi_line: bool = True
 
     # contract; unset requirements follow the production flag
@@ -129,6 +130,7 @@ class Lake:
             # lets a run that needs a few dates skip most of each file
             sort_by=(entity.date,),
             tracks_changes=True,
+            hidden=f"{PREVIOUS_MEASURE} double, {PREVIOUS_MARK} timestamp",
         )
 
     @property
@@ -137,7 +139,7 @@ class Lake:
         slice_of = {"date": tables.date_slice, "month": tables.month_slice}[by]
         return SlicedTable(
             self.spark, self.path(self.settings.gold), entity.daily_schema, slice_of(entity.date), by,
-            older_names={entity.date: entity.event_time},
+            hidden=METRIC_STATE, older_names={entity.date: entity.event_time},
         )
 
     def quarantine(self) -> DataFrame | None:

@@ -5,23 +5,23 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.operators.contract import accepted, quality_counters, rejected, rejections, validate
+from tidemark.operators.contract import accepted, quality_counts, rejected, rejections, validate
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.shape import evolve_state
 from tidemark.operators.upsert import (
-    CHANGE,
-    INSERTED,
-    PREVIOUS_DATE,
+    PREVIOUS_MARK,
+    PREVIOUS_MEASURE,
+    all_inserted,
     merge_newer,
     row_bytes,
     supersedes,
 )
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch
-from tidemark.sources.tables import HistoryExpired, SlicedTable
+from tidemark.sources.tables import HistoryExpired, SlicedTable, change_counts
 
 
 _NOTHING = {
@@ -41,8 +41,8 @@ class TooManyRescued(RuntimeError):
 def process(lake: Lake, as_of: Column | None = None) -> DataFrame:
     """One run over new (or all) Bronze rows.  Returns the alerts it raises.
 
-    The batch is read and checked once; counting, quarantine and merge start from
-    what that pass wrote to the shared scratch folder.
+    The batch is read and checked once and counted in that pass; quarantine and merge start
+    from what it wrote to the shared scratch folder.
     """
     bronze, seen = lake.bronze, lake.silver.snapshot().source_version
     arrived = bronze.snapshot()
@@ -66,17 +66,17 @@ def process_events(
 ) -> DataFrame:
     checked = validate(events, lake.entity, lake.settings.contract)
     with scratch(lake.spark, "checked") as folder:
-        checked.write.parquet(folder)
+        counted = Observation("checked")
+        checked.observe(counted, *quality_counts()).write.parquet(folder)
         validated = lake.spark.read.schema(checked.schema).parquet(folder)
-        return _store(lake, validated, run_id, source_version, as_of)
+        return _store(lake, validated, counted.get, run_id, source_version, as_of)
 
 
 def _store(
-    lake: Lake, validated: DataFrame, run_id: str, source_version: int, as_of: Column | None
+    lake: Lake, validated: DataFrame, counts: dict, run_id: str, source_version: int, as_of: Column | None
 ) -> DataFrame:
     """Quarantine, merge and audit of checked events."""
     settings, entity = lake.settings, lake.entity
-    counts = quality_counters(validated).first().asDict()
 
     if counts["bad_records"]:
         # few rows out of very many tasks: gather them into files of a sensible size
@@ -93,8 +93,9 @@ def _store(
         newest = latest_per_key(
             accepted(validated, entity), entity.key, entity.newest_first(settings.contract)
         )
-        version = merge_batch(lake, silver, newest, source_version, as_of)
-        changes = silver.changes_of(version).first()
+        counted = Observation("merged")
+        merge_batch(lake, silver, newest, source_version, as_of, counted)
+        changes = counted.get
         inserted = changes["inserted"]
         details = f",inserted={inserted},updated={changes['updated']}"
     else:
@@ -119,12 +120,13 @@ def merge_batch(
     newest: DataFrame,
     source_version: int | None = None,
     as_of: Column | None = None,
+    counted: Observation | None = None,
 ) -> int:
     """Merge one row per key into the table, reading and writing only its slices.
 
     The batch is first written to the shared scratch folder.  That gives its
     exact size and slices for the decisions below, and a lost executor does not
-    cause the events to be checked again.
+    cause the events to be checked again.  ``counted`` gets what the merge inserted, updated and left.
     """
     settings, entity = lake.settings, lake.entity
     columns = StructType.fromDDL(entity.state_schema).names
@@ -151,10 +153,9 @@ def merge_batch(
         def spread(df: DataFrame) -> DataFrame:
             return df.withColumn("_part", part).repartition(tasks, "_slice", "_part")
 
+        track = {PREVIOUS_MEASURE: entity.measure, PREVIOUS_MARK: entity.mark}
         if not old:
-            merged = spread(batch).withColumns(
-                {CHANGE: F.lit(INSERTED), PREVIOUS_DATE: F.lit(None).cast("date")}
-            )
+            merged = all_inserted(spread(batch), entity.date, track)
         else:
             # a table from before versions were kept: its rows count as updated when they happened
             target = evolve_state(
@@ -174,7 +175,10 @@ def merge_batch(
                 cluster_by=["_slice"] if small else ["_slice", "_part"],
                 track_date=entity.date,
                 source_is_small=small,
+                track=track,
             )
+        # nothing is shuffled between here and the files, so a repeated task is not counted twice
+        merged = merged.observe(counted, *change_counts()) if counted is not None else merged
         return silver.replace(
             merged.drop("_part"), as_of=as_of, source_version=source_version, snapshot=now
         )

@@ -35,7 +35,8 @@ def run(
     as_of = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
     known = {settings.bronze: lake.bronze, settings.silver: lake.silver, settings.gold: lake.gold}
     plain = (settings.quarantine, settings.stage_audit, settings.upkeep_audit)
-    names = names or (*known, *(n for n in plain if n))
+    # by default: the three tables of every lake, and of the others those that have been made
+    names = names or (*known, *(n for n in plain if n and tables.exists(spark, lake.path(n))))
     targets = spark.createDataFrame([(n,) for n in names], "table_name string")
     usable = targets.filter(is_trusted_name(F.col("table_name"))).select(F.trim("table_name"))
 

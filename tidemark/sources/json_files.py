@@ -37,11 +37,17 @@ def rescue_stream(
 ) -> DataFrame:
     """Events with whatever did not fit the schema kept per record.
 
+    ``split``  each file is an array, one object, or a record per line; arrays and lines
+               are split among tasks.  The stream only lists the files, and each batch of
+               paths is read by :func:`tidemark.sources.json_ranges.read_records`.
     ``lines``  a record per line; files are split among tasks, so their size
                does not matter.
-    ``auto``   each file is an array, one object, or a record per line.  A file
-               is then the unit of work and must fit into one task.
+    ``auto``   the kinds of ``split``, but a file is the unit of work and must fit into one task.
     """
+    if layout == "split":
+        # the content is not read
+        files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+        return files.options(**options).load(path).select("path")
     whole = layout == "auto"
     texts = (
         spark.readStream.format("text").option("wholetext", whole).options(**options).load(path)

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.operators.upsert import CHANGE, INSERTED, PREVIOUS_DATE, UPDATED
 from tidemark.session import delete
@@ -50,6 +51,15 @@ def date_slice(date: str) -> Column:
     return F.coalesce(F.col(date).cast("string"), F.lit("none"))
 
 
+def change_counts() -> list[Column]:
+    """Inserted, updated and untouched rows; also to be counted while a merge is written."""
+    return [
+        F.count_if(F.col(CHANGE) == INSERTED).alias("inserted"),
+        F.count_if(F.col(CHANGE) == UPDATED).alias("updated"),
+        F.count_if(F.col(CHANGE).isNull()).alias("untouched"),
+    ]
+
+
 class HistoryExpired(RuntimeError):
     """An earlier write that is still needed has been removed."""
 
@@ -88,11 +98,14 @@ class SlicedTable:
         layout: str,
         sort_by: Sequence[str] = (),
         tracks_changes: bool = False,
+        hidden: str = "",
         older_names: dict[str, str] | None = None,
     ):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.slice_of, self.layout, self.sort_by = slice_of, layout, tuple(sort_by)
         self.tracks_changes = tracks_changes
+        # columns that are stored beside those of the table, and only read when asked for
+        self.hidden = hidden
         # dates that older files keep under another name
         self.older_names = older_names or {}
         self._data, self._versions = f"{self.path}/data", f"{self.path}/versions"
@@ -132,12 +145,14 @@ class SlicedTable:
         slices: Iterable[str] | None = None,
         with_slice: bool = False,
         snapshot: Snapshot | None = None,
+        with_hidden: bool = False,
     ) -> DataFrame:
         """The newest rows, of all slices or of some."""
         held = (snapshot or self.snapshot()).slices
         wanted = held if slices is None else [s for s in slices if s in held]
         rows = self._scan([self.folder(held[s].version, s) for s in wanted])
-        return rows.drop("_version", CHANGE, PREVIOUS_DATE, *([] if with_slice else ["_slice"]))
+        hidden = [] if with_hidden else StructType.fromDDL(self.hidden).names if self.hidden else []
+        return rows.drop("_version", CHANGE, PREVIOUS_DATE, *hidden, *([] if with_slice else ["_slice"]))
 
     def written_since(self, version: int, kind: str) -> DataFrame:
         """Rows that writes of one kind stored after ``version``, as they stored them.
@@ -159,10 +174,17 @@ class SlicedTable:
 
     def changed_dates(self, date: str, since: int) -> DataFrame:
         """Dates that merges after ``since`` touched: those rows have now, and had before."""
-        rows = self.written_since(since, "merge").filter(F.col(CHANGE).isNotNull())
+        rows = self.changes_since(since)
         dates = F.array_compact(F.array(F.col(date), F.col(PREVIOUS_DATE)))
         return rows.select(F.explode(dates).alias(date)).distinct()
 
+    def changes_since(self, since: int) -> DataFrame:
+        """Rows that merges after ``since`` added or replaced, one for each time, with what they replaced.
+
+        A file begins with its changed rows, so the filter skips its other pages.
+        """
+        return self.written_since(since, "merge").filter(F.col(CHANGE).isNotNull())
+
     # -- writing -----------------------------------------------------------
 
     def with_slice(self, rows: DataFrame) -> DataFrame:
@@ -197,7 +219,8 @@ class SlicedTable:
             if "_slice" not in rows.columns:
                 rows = self.with_slice(rows)
             if self.sort_by:
-                rows = rows.sortWithinPartitions("_slice", *self.sort_by)
+                changed = [F.col(CHANGE).desc_nulls_last()] if CHANGE in rows.columns else []
+                rows = rows.sortWithinPartitions("_slice", *changed, *self.sort_by)
             overwrite = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
             overwrite.partitionBy("_slice").parquet(folder)
             written = self.spark.read.schema("_slice string").parquet(folder).select(
@@ -223,11 +246,7 @@ class SlicedTable:
 
     def changes_of(self, version: int) -> DataFrame:
         """Inserted, updated and untouched rows of a merge, as one row of counts."""
-        return self._scan([self.folder(version)]).agg(
-            F.count_if(F.col(CHANGE) == INSERTED).alias("inserted"),
-            F.count_if(F.col(CHANGE) == UPDATED).alias("updated"),
-            F.count_if(F.col(CHANGE).isNull()).alias("untouched"),
-        )
+        return self._scan([self.folder(version)]).agg(*change_counts())
 
     def fold_versions(self, above: int) -> int:
         """Put the files of the versions table together once there are more than ``above``.
@@ -264,7 +283,8 @@ class SlicedTable:
     def _stored_schema(self) -> str:
         tracked = f", {CHANGE} string, {PREVIOUS_DATE} date" if self.tracks_changes else ""
         older = "".join(f", `{old}` date" for old in self.older_names.values())
-        return f"{self.schema}{tracked}{older}, _version bigint, _slice string"
+        hidden = f", {self.hidden}" if self.hidden else ""
+        return f"{self.schema}{tracked}{hidden}{older}, _version bigint, _slice string"
 
     def slice_sizes(self, snapshot: Snapshot) -> DataFrame:
         """``_slice, files, bytes`` of the newest version of each slice."""

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.shape import with_ingest_time
 from tidemark.plans.lake import Lake
-from tidemark.sources.json_files import json_stream, rescue_stream
+from tidemark.session import scratch
+from tidemark.sources.json_files import json_stream, parse_with_rescue, rescue_stream
+from tidemark.sources.json_ranges import read_records
 
 NO_INPUT_COUNT = "input not counted: files are read as they arrive"
 
@@ -41,8 +43,9 @@ def ingest(
         name = f"{_query_id(lake, checkpoint)}-{batch_id}"
         known = bronze.versions().filter(F.col("slice") == name).limit(1).count()
         if not known:
-            stamped = with_ingest_time(batch, lake.entity.mark, as_of)
-            bronze.replace(stamped, kind="append", into=name, as_of=as_of)
+            with scratch(lake.spark, "ranges") as folder:
+                stamped = with_ingest_time(_events(lake, batch, folder), lake.entity.mark, as_of)
+                bronze.replace(stamped, kind="append", into=name, as_of=as_of)
         if then is not None:
             then()
 
@@ -72,6 +75,14 @@ def ingest(
     return lake.write_stage_audit("bronze", counts, str(uuid.uuid4()), as_of)
 
 
+def _events(lake: Lake, batch: DataFrame, folder: str) -> DataFrame:
+    if batch.columns != ["path"]:
+        return batch
+    # the file source has listed them on the driver already
+    paths = [row["path"] for row in batch.collect()]
+    return parse_with_rescue(read_records(lake.spark, paths, folder), lake.entity)
+
+
 def _query_id(lake: Lake, checkpoint: str) -> str:
     """Identity of the checkpoint: a new one counts its batches from zero again."""
     return lake.spark.read.json(f"{checkpoint}/metadata").first()["id"]
