@@ -34,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of 2048 tokens; a document that the mix repeats is packed each time."""
-    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, ids=False)
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, ids=False, cached=300_000)
 
 
 STAGES = [

@@ -81,11 +81,14 @@ def test_rates_solve_the_balance_and_tilt_with_size(spark):
         assert taken == pytest.approx(s.target, rel=1e-6)
 
 
-def test_buckets_of_a_hot_source_are_rounded_apart(spark):
+def test_a_hot_source_is_rounded_by_one_number(spark):
     rows = [(i, "a b c d e", "en", "hot" if i % 3 else "cold", 0) for i in range(600)]
-    mixed = mixing.mix(documents(spark, rows), bucket_rows=50).collect()
+    mixed = mixing.mix(documents(spark, rows)).collect()
     hot = [r for r in mixed if r.source == "hot"]
     assert abs(sum(r.copies * r.size for r in hot) - hot[0].target) <= 8 * 5
+    assert len({r.copies for r in hot}) <= 2
+    few = mixing.mix(documents(spark, rows), bins=1).collect()  # all documents of a source take their turn together
+    assert {s: len({r.copies for r in few if r.source == s}) for s in ("hot", "cold")} == {"hot": 1, "cold": 1}
 
 
 def test_mixed_documents(spark):

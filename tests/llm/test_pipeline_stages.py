@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_registered():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{n}" for n in range(1, 14)]
     assert {*names, "pipeline"} <= set(entry.queries())
     assert set(oracles.oracles()) <= set(names) and not [n for n in names if n in entry.oracle_sql() and n not in oracles.oracles()]
 

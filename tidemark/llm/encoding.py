@@ -127,8 +127,13 @@ class Encoder:
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
+def release() -> None:
+    """Give this worker's caches back; operators without a tokenizer call it, as workers are used again."""
+    _ENCODERS.clear()
+
+
 def encoder(path: str, limit: int = 800_000) -> Encoder:
-    """This worker's encoder; its cache lives as long as the worker."""
+    """This worker's encoder; its cache lives until an operator without a tokenizer uses the worker."""
     if (path, limit) not in _ENCODERS:
         _ENCODERS[path, limit] = Encoder(path, limit)
     return _ENCODERS[path, limit]

@@ -25,15 +25,15 @@ def _position(n: int, bits: int, sha: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit(n), sha), F.lit(bits))
 
 
-def repeat_filter(digests: DataFrame, bits: int) -> DataFrame:
-    """``hash, block, bitmap``: the positions that at least two rows have.
+def repeat_filter(digests: DataFrame, bits: int, least: int = 2) -> DataFrame:
+    """``hash, block, bitmap``: the positions that at least ``least`` rows have.
 
     At most ``HASHES * bits / 32768`` rows of 4 KiB.  ``digests`` has a binary column ``sha``.
     """
     positions = digests.select(
         F.explode(F.array(*(F.struct(F.lit(n).alias("hash"), _position(n, bits, F.col("sha")).alias("at")) for n in range(HASHES)))).alias("p")
     )
-    met = positions.groupBy("p.hash", "p.at").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    met = positions.groupBy("p.hash", "p.at").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least)
     return met.groupBy("hash", F.expr(f"at div {BLOCK}").alias("block")).agg(
         F.bitmap_construct_agg(F.pmod("at", F.lit(BLOCK))).alias("bitmap")
     )
@@ -97,20 +97,44 @@ def duplicate_report(documents: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     )
 
 
+def sha_of(text: Column) -> Column:
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def without(documents: DataFrame, gone: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``documents`` without the rows whose id and SHA-256 of the text are in ``gone`` (``doc_id, sha``, distinct).
+
+    A Bloom filter of the texts that go is broadcast; rows that it clears stay where they are, and only the others
+    are compared.  All columns come through unchanged.
+    """
+    gone = keep(gone, "gone")
+    bits = filter_bits(gone.count(), max_bits)
+    names = keep(repeat_filter(gone, bits, least=1), "gone-filter")
+    rows = documents.select(F.struct(*documents.columns).alias("row"))
+    flagged = maybe_repeated(rows.withColumn("sha", sha_of(F.col("row.text"))), names, bits, "sha", "hit")
+    out = gone.select(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"))
+    same = (F.col("sha") == F.col("gone_sha")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("gone_id"))
+    left = flagged.filter("hit").join(out, same, "left_anti")
+    return flagged.filter("not hit").select("row.*").unionByName(left.select("row.*"))
+
+
 def drop_duplicates(documents: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``documents`` with one row of equal texts, the one with the largest ``doc_id``.
 
-    Of rows that repeat that ``doc_id`` too, the one whose columns hash lowest stays.  Rows the
-    filter calls single are not shuffled.  Any other columns come through unchanged.
+    Of rows that repeat that ``doc_id`` too, the one whose columns hash lowest stays.  What goes is decided on ids and
+    digests; of the texts only those that go, and the few that a filter cannot tell from them, are shuffled.
+    Any other columns come through unchanged.
     """
-    _, repeats, groups, bits = _passes(documents, max_bits)
-    sha, hit, of, keeps = "__sha", "__hit", "__of", "__keeps"
-    rows = documents.withColumn(sha, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    flagged = maybe_repeated(rows, repeats, bits, sha, hit)
-    groups = groups.select(F.col("sha").alias(of), F.col("keep_id").alias(keeps))
-    shared = flagged.filter(hit).join(groups, F.col(sha) == F.col(of), "left")
-    alone = shared.filter(F.col(of).isNull())
-    again = shared.filter(F.col(of).isNotNull() & F.col("doc_id").cast("long").eqNullSafe(F.col(keeps)))
-    columns = documents.columns
-    one = again.groupBy(sha).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")).select("row.*")
-    return flagged.filter(~F.col(hit)).select(*columns).unionByName(alone.select(*columns)).unionByName(one.select(*columns))
+    flagged, _, groups, _ = _passes(documents, max_bits)
+    shared = flagged.filter("hit").join(groups.withColumnRenamed("sha", "of"), F.col("sha") == F.col("of"))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    left = without(documents, shared.filter(~stays).select("doc_id", "sha").distinct(), max_bits)
+    # rows that repeat the kept id and its text
+    again = keep(shared.filter(stays).groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "again")
+    if not again.limit(1).count():
+        return left
+    rows = left.select(F.struct(*documents.columns).alias("row")).withColumn("of", sha_of(F.col("row.text")))
+    same = (F.col("of") == F.col("sha")) & F.col("row.doc_id").cast("long").eqNullSafe(F.col("doc_id"))
+    told = rows.join(again.withColumn("again", F.lit(True)), same, "left")
+    one = told.filter("again").groupBy("of").agg(F.min_by("row", F.xxhash64("row.*")).alias("row"))
+    return told.filter("again is null").select("row.*").unionByName(one.select("row.*"))

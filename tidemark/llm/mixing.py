@@ -3,24 +3,23 @@
 Among all rates that take the target number of words from a source, the ones closest in entropy
 to taking each document once are ``exp(dual * size)``, here at most ``most``.  The duals, one per
 source, are the root of a monotone function that Newton steps find; each step sums over the distributed
-histogram of sizes and moves one row per source.  Rates become whole copies bucket by bucket, each
-carrying its rounding error from the longest document to the shortest.
+histogram of sizes and moves one row per source.  Rates become whole copies by a hash and one threshold per
+source, so that a document's copies follow from its own row.
 """
 
 from __future__ import annotations
 
 import math
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.llm.common import workers_import
+from tidemark.llm.common import uniform
 from tidemark.session import keep
 
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Documents of a source are rounded in buckets of about this many.
-BUCKET_ROWS = 2_000
+#: Turns that a source's documents are dealt to when rates become whole copies.
+BINS = 8_192
 STEPS, EXACT = 60, 1e-9
 
 
@@ -108,57 +107,82 @@ def duals(unit: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
     return state.drop("low", "high", "off")
 
 
-def _round_bucket(table: pa.Table) -> pa.Table:
-    """Whole copies for one bucket of a source; the words owed or overdrawn go on to the next document."""
-    table = table.sort_by([("size", "descending"), ("shuffled", "ascending"), ("doc_id", "ascending")])
-    copies, owed = [], 0.0
-    for size, rows, rate in zip(table["size"].to_pylist(), table["rows"].to_pylist(), table["rate"].to_pylist()):
-        low = math.floor(rate + 1e-9)
-        if not size:
-            copies.append(1)
-            continue
-        want = rate * size * rows + owed
-        n = min(max(math.floor(want / (size * rows) + 0.5), low), math.ceil(rate - 1e-9))
-        owed = want - n * size * rows
-        copies.append(n)
-    return table.append_column("copies", pa.array(copies, pa.int64())).drop_columns(["bucket", "shuffled"])
+def _parts(size: Column, most: float) -> tuple[Column, Column, Column]:
+    """Least copies of a document, most copies, and what its rate is above the least."""
+    rate = F.round(_rate(size, most), 9)  # the last digits depend on the order of adding
+    low, high = F.floor(rate + 1e-9), F.ceil(rate - 1e-9)
+    return low, high, F.when(high > low, rate - low).otherwise(F.lit(0.0))
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``doc_id, source, size, rows, source_size, target, rate, copies``: how often each unit is taken.
+def _turn(doc_id: Column, size: Column, above: Column, bins: int) -> Column:
+    """When a document's turn comes to be taken once more: the sooner the more its rate is above its least copies."""
+    return F.floor((uniform(doc_id, size, F.lit(11)) - above + 1.0) / 2.0 * bins).cast("int")
+
+
+def _copies(doc_id: Column, size: Column, most: float, bins: int) -> Column:
+    """Copies of a document by what its source's row says; needs no other document."""
+    low, high, above = _parts(size, most)
+    more = (high > low) & (_turn(doc_id, size, above, bins) < F.col("turns"))
+    return F.when(size == 0, F.lit(1)).otherwise(low + F.when(more, 1).otherwise(0)).cast("long")
+
+
+def plan(unit: DataFrame, weights: tuple[int, ...], most: float, bins: int = BINS) -> DataFrame:
+    """One row for each source: ``source, source_size, target, docs, dual, scale, turns``.
+
+    Rates become whole copies by one number per source: a document is taken once more if its turn, a hash less the
+    fraction of its rate, is below ``turns``, which is set so that the words taken come nearest to the target.
+    """
+    solved = keep(duals(unit, source_targets(unit, weights, most), most), "solved")
+    rated = unit.join(solved.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    low, high, above = _parts(F.col("size"), most)
+    words = F.col("size") * F.col("rows")
+    turn = F.when(high > low, _turn(F.col("doc_id"), F.col("size"), above, bins)).otherwise(-bins)
+    found = rated.filter("size > 0").groupBy("of", turn.alias("turn")).agg(F.sum(low * words).alias("least"), F.sum(words).alias("more"))
+    # at most ``bins`` rows a source
+    so_far = Window.partitionBy("of").orderBy("turn")
+    steps = found.withColumns({
+        "least": F.sum("least").over(Window.partitionBy("of")),
+        "taken": F.sum(F.when(F.col("turn") >= 0, F.col("more")).otherwise(0)).over(so_far),
+    }).join(solved.select(F.col("source").alias("__of"), "target"), F.col("of").eqNullSafe(F.col("__of")))
+    off = F.abs(F.col("target") - F.col("least") - F.col("taken"))
+    ahead = F.col("target") - F.col("least")  # with no turn at all
+    best = steps.groupBy("of").agg(F.min(F.struct(off.alias("off"), (F.col("turn") + 1).alias("turns"))).alias("best"), F.max(F.abs(ahead)).alias("none"))
+    turns = F.when(F.col("best.off") < F.col("none"), F.col("best.turns")).otherwise(0)
+    chosen = best.select(F.col("of").alias("__of"), turns.alias("turns"))
+    joined = solved.join(chosen, F.col("source").eqNullSafe(F.col("__of")), "left").drop("__of")
+    return keep(joined.withColumn("turns", F.coalesce("turns", F.lit(0))), "plan")
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, bins: int = BINS) -> DataFrame:
+    """``doc_id, source, size, rows, source_size, target, copies``: how often each unit is taken.
 
     ``size`` counts the words of the whole text (null: 0) and ``rows`` the documents that share id, source
     and size; they are taken alike.  An empty text costs nothing and is taken once.  No document is
     taken more than ``most`` times.  Null ids and sources are values of their own; other columns are
-    not read; an empty table gives an empty one.  Runs agree: only hashes of ids break ties.
+    not read; an empty table gives an empty one.  Runs agree: only hashes of ids and sizes choose.
     """
-    workers_import(documents.sparkSession)
     unit = keep(units(documents), "units")
-    solved = duals(unit, source_targets(unit, weights, most), most).withColumnRenamed("source", "of")
-    rated = unit.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "rows", "source_size", "target",
-        F.round(_rate(F.col("size"), most), 9).alias("rate"),  # the last digits depend on the order of adding
-        F.pmod(F.xxhash64("doc_id", F.lit(11)), F.ceil(F.col("docs") / bucket_rows)).alias("bucket"),
-        F.xxhash64("doc_id", "size").alias("shuffled"),
-    )
-    schema = "doc_id long, source string, size long, rows long, source_size long, target double, rate double, copies long"
-    return rated.groupBy("source", "bucket").applyInArrow(_round_bucket, schema)
+    solved = plan(unit, weights, most, bins).withColumnRenamed("source", "of")
+    return unit.join(solved, F.col("source").eqNullSafe(F.col("of"))).select(
+        "doc_id", "source", "size", "rows", "source_size", "target", _copies(F.col("doc_id"), F.col("size"), most, bins).alias("copies"))
 
 
 def mix_report(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for each row of ``documents``; see :func:`mix`."""
     mixed = mix(documents, weights, most)
-    report = mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate", "rows")
+    report = mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rows")
     return report.withColumn("one", F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int")))).drop("one", "rows")
 
 
-def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
-    """``documents``, each row as often as the mix takes it; all columns come through unchanged."""
-    plan = keep(mix(documents, weights, most).select("doc_id", "source", "size", "copies"), "copies")
-    plan = plan.toDF("__id", "__source", "__words", "__copies")
-    same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-        & word_count(F.col("text")).eqNullSafe(F.col("__words"))
-    )
-    taken = documents.join(plan.filter("__copies > 0"), same)
-    return taken.withColumn("__one", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select(*documents.columns)
+def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: float = 3.0, bins: int = BINS) -> DataFrame:
+    """``documents``, each row as often as the mix takes it; all columns come through unchanged.
+
+    Texts stay where they are: each row's copies follow from its own values and its source's row of the plan.
+    """
+    columns = documents.columns
+    solved = plan(keep(units(documents), "units"), weights, most, bins)
+    taken = documents.select(F.struct(*columns).alias("row")).join(
+        solved, F.col("row.source").cast("string").eqNullSafe(F.col("source")))
+    taken = taken.withColumn("size", word_count(F.col("row.text")))
+    copies = _copies(F.col("row.doc_id").cast("long"), F.col("size"), most, bins)
+    return taken.select("row", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias("one")).select("row.*")

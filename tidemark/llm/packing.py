@@ -26,7 +26,7 @@ TASK_PIECES, MEET = 50_000, 16
 FUNCTIONS = 24
 
 
-def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, cached: int = 800_000) -> DataFrame:
     """``doc_id, piece, start, length, ids``: the tokens of each whole text and ``end_id``, cut every ``capacity``.
 
     ``ids`` are little-endian unsigned 32-bit integers.  A null text is empty and gives the end alone.
@@ -35,7 +35,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = 2048, end
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = encoder(tokenizer)
+        library = encoder(tokenizer, cached)
         for batch in batches:
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -151,14 +151,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, task_pieces: int = TASK_PIECES
         waiting = packed.filter("open").drop("sequence_id", "offset", "open").withColumn("part", F.floor(F.col("part") / MEET))
 
 
-def packed_documents(documents: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, ids: bool = True) -> DataFrame:
+def packed_documents(documents: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, ids: bool = True, cached: int = 800_000) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` of each piece, and its ``ids``.
 
     Without ``ids`` only their checksum is carried through the packing.  Documents longer than ``capacity`` are cut; each
     other one is one piece.  Rows that repeat a ``doc_id`` are documents of their own.  An empty
-    table gives no pieces.  Other columns are not read.
+    table gives no pieces.  Other columns are not read.  ``cached`` bounds the words whose ids a worker keeps.
     """
-    pieces = token_pieces(documents, tokenizer, capacity, end_id).withColumn("ids_crc32", F.crc32("ids"))
+    pieces = token_pieces(documents, tokenizer, capacity, end_id, cached).withColumn("ids_crc32", F.crc32("ids"))
     return pack(pieces if ids else pieces.drop("ids"), capacity)
 
 

@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import dealt, texts, workers_import
+from tidemark.llm.encoding import release
+from tidemark.llm.exact_dedup import without
 from tidemark.llm.components import components, forest
 from tidemark.session import keep
 
@@ -58,6 +60,7 @@ def fingerprints(documents: DataFrame, shingle: int = 4, sha: bool = False) -> D
     more = ["sha"] if sha else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
             columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, more)]
@@ -216,6 +219,4 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = 4, bits: int = 4)
     row = F.struct(F.col("doc_id").isNull(), "doc_id", "sha")
     of = _classes(prints, bits, row)
     lost = prints.join(of, F.col("fp") == F.col("class")).filter(~row.eqNullSafe(F.col("lowest")))
-    gone = keep(lost.select(F.col("doc_id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct(), "gone")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (_sha() == F.col("__gone_sha"))
-    return documents.join(gone, same, "left_anti")
+    return without(documents, lost.select("doc_id", "sha").distinct())

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import texts, workers_import
+from tidemark.llm.encoding import release
 from tidemark.session import keep
 
 #: Bounds of training: labelled documents it may use, and words or beginnings of words a model may weigh.
@@ -199,9 +200,10 @@ def score(documents: DataFrame, chain: Chain, threshold: float = THRESHOLD) -> D
 
 
 def _toxic(text: Column, chain: Chain, threshold: float) -> Column:
-    @F.pandas_udf("boolean")
-    def run(values):
-        return values.map(lambda t: chain.probabilities(t)[-1] >= threshold).astype(bool)
+    @F.arrow_udf("boolean")
+    def run(values: pa.Array) -> pa.Array:
+        release()
+        return pa.array([bool(chain.probabilities(t)[-1] >= threshold) for t in values.to_pylist()], pa.bool_())
 
     return run(F.coalesce(text, F.lit("")))
 
