@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -32,6 +34,13 @@ def texts(documents: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows a few at a time, so that a worker never holds ten thousand texts as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def dealt(rows: int, per_task: int) -> int:
     """Number of partitions that leaves about ``per_task`` rows in each."""
     return max(1, -(-rows // per_task))

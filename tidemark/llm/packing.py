@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import dealt, texts, workers_import
+from tidemark.llm.common import dealt, small, texts, workers_import
 from tidemark.llm.encoding import encoder
 from tidemark.session import keep
 
@@ -36,7 +36,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = 2048, end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(tokenizer, cached)
-        for batch in batches:
+        for batch in small(batches):
             rows: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = library.encode(text) + end

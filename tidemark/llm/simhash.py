@@ -17,10 +17,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import dealt, texts, workers_import
+from tidemark.llm.common import dealt, small, texts, workers_import
+from tidemark.llm.components import components, forest
 from tidemark.llm.encoding import release
 from tidemark.llm.exact_dedup import without
-from tidemark.llm.components import components, forest
 from tidemark.session import keep
 
 #: Index rows a task handles, and members of a key that one task compares.
@@ -61,7 +61,7 @@ def fingerprints(documents: DataFrame, shingle: int = 4, sha: bool = False) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        for batch in batches:
+        for batch in small(batches):
             found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
             columns = [batch.column("doc_id"), pa.array(found.view(np.int64)), *map(batch.column, more)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *more])

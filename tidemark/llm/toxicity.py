@@ -203,7 +203,7 @@ def _toxic(text: Column, chain: Chain, threshold: float) -> Column:
     @F.arrow_udf("boolean")
     def run(values: pa.Array) -> pa.Array:
         release()
-        return pa.array([bool(chain.probabilities(t)[-1] >= threshold) for t in values.to_pylist()], pa.bool_())
+        return pa.array([bool(chain.probabilities(t.as_py())[-1] >= threshold) for t in values], pa.bool_())
 
     return run(F.coalesce(text, F.lit("")))
 
