@@ -2,6 +2,9 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import LONG, clashing, empty
 from tidemark.llm import surrogates
 
@@ -111,3 +114,12 @@ def test_names_stay_hidden_without_a_title(spark):
     assert found[2].n_entities == 0
     one, two, three, four = re.fullmatch(r"Herr Prof\. Dr\. [A-Z]\. [A-Z]\. van der (\w+), (\w+); Mr (\w+)'s house, (\w+)", found[3].text).groups()
     assert one == two != "Berg" and three == four
+
+
+@pytest.mark.parametrize("text", [
+    "Mr " + "Bob " * 250_000, "x@" + "a." * 500_000 + "com", "Mr A" + "b" * 1_000_000, "Mr A" + "-b" * 500_000, "Mr " * 300_000, "1" * 1_000_000,
+    "+1 " * 300_000, "A B " * 250_000, "1:" * 500_000, "GB12 " * 200_000, "a" * 1_000_000 + "@", "Mr " + "van " * 250_000, "0f" * 500_000, "(12) " * 200_000,
+])
+def test_long_strange_texts_end(spark, text):
+    found = spark.createDataFrame([(text,)], "text string").select(F.regexp_extract_all("text", F.lit(surrogates.ENTITY), F.lit(0)).alias("e"))
+    assert found.select(F.size("e")).first()[0] >= 0

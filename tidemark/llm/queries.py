@@ -14,7 +14,9 @@ from tidemark.llm.common import read
 
 
 def op1_threshold_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    found = topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    low, high = (F.lit(x).cast("decimal(38,0)") for x in (-(1 << 63), (1 << 63) - 1))
+    return found.withColumn("score", F.least(F.greatest("score", low), high).cast("long"))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,12 +15,12 @@ from tidemark.session import keep
 
 #: Patterns of entities, tried in this order at each place.
 LOCAL = r"\p{L}\p{N}._%+\-"
-EMAIL = rf"(?<![{LOCAL}])[{LOCAL}]++@[\p{{L}}\p{{N}}\-]+(?:\.[\p{{L}}\p{{N}}\-]+)+"
+EMAIL = rf"(?<![{LOCAL}])[{LOCAL}]++@[\p{{L}}\p{{N}}\-]++(?:\.[\p{{L}}\p{{N}}\-]++){{1,126}}"
 IP = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"
 CARD = r"(?<![\d])(?:\d{4}([ \-]?)\d{4}\1\d{4}\1\d{4}|3\d{3}[ \-]?\d{6}[ \-]?\d{5}|\d{13,19})(?!\d)"
 HEX = "[0-9A-Fa-f]{1,4}"
 IP6 = rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:(?:{HEX}:){{7}}{HEX}|(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}|(?:{HEX}:){{2,7}}:|:(?::{HEX}){{2,7}})(?![\p{{L}}\p{{N}}]|:[0-9A-Fa-f:]|\.\d)"
-IBAN = r"(?<![\p{L}\p{N}])(?=(?:[ A-Z]*\d){8})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+IBAN = r"(?<![\p{L}\p{N}])(?=(?:[ A-Z]{0,40}\d){8})[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 PHONE = (
     r"(?<![\d])(?:\+?\d{1,3}[ .\-]?)?\(\d{2,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}(?!\d)|(?<![\d])(?:\+\d{1,3}[ .\-])?\d{3}[ .\-]\d{3,4}[ .\-]\d{4}(?!\d)|\+\d{9,14}(?!\d)"
     r"|\+(?=(?:[ .\-/()]{0,2}\d){8,15}(?!\d))\d{1,3}[ .\-/]?(?:\(\d{1,4}\)[ .\-/]?)?\d{1,4}(?:[ .\-/]?\d{2,4}){1,6}(?![.\-/]?\d)"
@@ -31,11 +31,13 @@ MALE = "Mr|Sir|Herr|Señor|Monsieur|Господин"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Señora|Madame|Госпожа"
 #: Titles that tell no sex; given names after them are drawn as men's.
 OTHER = "Dr|Prof|Doctor|Professor|Доктор|Профессор"
-TITLES = rf"(?:(?:{MALE}|{FEMALE}|{OTHER})\.? )+"
-#: A word of a name, without a possessive s; before it, particles and initials.
-WORD = r"\p{Lu}(?:\p{L}|['’\-](?!s(?!\p{L}))(?=\p{L}))+"
-UNIT = rf"(?:(?:van|von|vom|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|af|bin|ibn|al|ter|ten|\p{{Lu}}\.?) )*{WORD}"
-NAME = rf"(?<![\p{{L}}]){TITLES}{UNIT}(?: {UNIT})*"
+TITLES = rf"(?:(?:{MALE}|{FEMALE}|{OTHER})\.? ){{1,10}}"
+#: A word of a name, without a possessive s; before it, particles and initials.  Java's matcher calls itself for each
+#: turn of a group, so letters are taken in one go and groups turn a bounded number of times.
+JOINED = r"(?:['’\-](?!s(?!\p{L}))\p{L}++)"
+WORD = rf"\p{{Lu}}(?:\p{{L}}++{JOINED}{{0,40}}|{JOINED}{{1,40}})"
+UNIT = rf"(?:(?:van|von|vom|der|den|de|del|della|di|da|dos|du|la|le|zu|zur|af|bin|ibn|al|ter|ten|\p{{Lu}}\.?) ){{0,20}}{WORD}"
+NAME = rf"(?<![\p{{L}}]){TITLES}{UNIT}(?: {UNIT}){{0,60}}"
 ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, IBAN, NATIONAL, CARD, IP, IP6, PHONE, SECRET, NAME))
 #: Every entity has one of these; texts without are not searched further.
 HINT = rf"[0-9@]|(?:{MALE}|{FEMALE}|{OTHER})\b"

@@ -8,6 +8,8 @@ is below its k-th score.  Queries that walk on together are scored together.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -18,13 +20,16 @@ from tidemark.session import keep
 #: Rows of a block of candidates, and of a block of queries.
 BLOCK_ROWS, QUERY_ROWS = 2_048, 512
 SCALE = 256
+MOST_SCORE = 10**38 - 1
 #: Depths at which the bound is compared, as parts of a list.
 DEPTHS = (1 / 256, 1 / 64, 1 / 16, 1 / 4)
 
 
 def whole_numbers(vector: Column) -> Column:
     """``floor(256 * x)`` of each component as a double; null for a vector that takes no part."""
-    x = F.transform(vector, lambda v: F.floor(v.cast("double") * SCALE).cast("double"))
+    # from 2^52 on a double has no fraction, and a long would not hold it
+    scaled = lambda v: v.cast("double") * SCALE
+    x = F.transform(vector, lambda v: F.when(F.abs(scaled(v)) < 1 << 52, F.floor(scaled(v)).cast("double")).otherwise(scaled(v)))
     broken = F.exists(vector, lambda v: v.isNull() | F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == float("inf")))
     return F.when(vector.isNotNull() & ~broken, x)
 
@@ -44,7 +49,8 @@ def threshold_search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.nd
     n, width = v.shape
     high = int(np.abs(v).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, width)
     exact = high < 1 << 53
-    v, q = (v, q) if exact else (v.astype(object), q.astype(object))
+    if not exact:
+        v, q = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (v, q))
     order = np.argsort(v.astype(float), axis=0, kind="stable")  # ascending: the worst end for positive weights
     lists = np.take_along_axis(v, order, axis=0)
     up = q > 0
@@ -89,8 +95,9 @@ def _search(k: int):
             for i, found, scores in threshold_search(q_ids, _matrix(queries, "v"), ids, _matrix(candidates, "v"), k):
                 rows[0].extend([q_ids[i]] * len(found))
                 rows[1].extend(found.tolist())
-                rows[2].extend(max(-(1 << 63), min((1 << 63) - 1, int(s))) for s in scores)
-        return pa.table({c: pa.array(r, pa.int64()) for c, r in zip(("query_id", "vec_id", "score"), rows)})
+                rows[2].extend(Decimal(max(-MOST_SCORE, min(MOST_SCORE, int(s)))) for s in scores)
+        kinds = (pa.int64(), pa.int64(), pa.decimal128(38, 0))
+        return pa.table({c: pa.array(r, k) for c, r, k in zip(("query_id", "vec_id", "score"), rows, kinds)})
 
     return run
 
@@ -104,7 +111,7 @@ def top_k(
     ``queries`` says which rows ask; all rows but a query's own answer.  Ties go to the smaller id.  Rows with a
     null id, a null vector or one with a null or non-finite component take no part.  Vectors meet only
     vectors of their own length.  An id is one vector: of rows that repeat it the smallest vector
-    counts.  Scores beyond a long are held at its ends.  Other columns are not read.
+    counts.  Scores are exact ``decimal(38,0)``, held at the ends of 38 digits.  Other columns are not read.
     """
     workers_import(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), whole_numbers(F.col(vector)).alias("v"), queries.alias("asks"))
@@ -118,7 +125,7 @@ def top_k(
     candidates = rows.select("width", block(blocks, 1).alias("block"), every(parts).alias("part"), "vec_id", "v")
     asking = rows.filter("asks").select("width", every(blocks).alias("block"), block(parts, 2).alias("part"), "vec_id", "v")
     key = ("width", "block", "part")
-    found = candidates.groupBy(*key).cogroup(asking.groupBy(*key)).applyInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = candidates.groupBy(*key).cogroup(asking.groupBy(*key)).applyInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
