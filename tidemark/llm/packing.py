@@ -4,7 +4,7 @@ Pieces are dealt to partitions by a hash and packed there, longest first, each i
 sequence with room.  Dual feasible functions map lengths to weights of which no sequence can hold
 more than one in all, so their sums bound the number of sequences from below; sums of one function
 add up over partitions and so bound the whole corpus too.  A partition whose number is above its bound
-gives back its emptiest sequences; what several partitions give back meets in one and is
+gives back its emptiest sequences and some of many small pieces; what several partitions give back meets in one and is
 packed again, round after round, until the corpus bound is met or one partition has all that is open.
 """
 
@@ -23,6 +23,8 @@ from tidemark.session import keep
 
 #: Pieces a task packs at once, and partitions whose open pieces meet in one in the next round.
 TASK_PIECES, MEET = 50_000, 16
+#: Sequences of many pieces that a partition gives back for each of its emptiest.
+MIX = 16
 FUNCTIONS = 24
 
 
@@ -105,6 +107,10 @@ def _pack(capacity: int, number: int, last: bool):
         given = np.zeros(len(room), bool)
         given[np.argsort(-room, kind="stable")[:back]] = True
         given &= room > 0
+        if back:
+            # the emptiest hold pieces too large to go together; small ones lie in sequences of many pieces
+            many = np.argsort(-np.bincount(place, minlength=len(room)), kind="stable")
+            given[many[:MIX * back]] = True
         base = (number << 56) + (part << 28)
         columns = {"sequence_id": pa.array(base + place), "offset": pa.array(offset, pa.int64()), "open": pa.array(given[place])}
         for name, values in columns.items():
@@ -133,7 +139,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, task_pieces: int = TASK_PIECES
     pieces = keep(pieces, "pieces")
     parts = dealt(pieces.count(), task_pieces)
     bound = lower_bound(pieces, capacity)
-    waiting = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(parts)))
+    waiting = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "start", "length", F.monotonically_increasing_id()), F.lit(parts)))
     done: DataFrame | None = None
     number = used = 0
     while True:
