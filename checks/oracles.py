@@ -401,6 +401,11 @@ def oracles() -> dict[str, str]:
             "CASE WHEN _corrupt_record IS NULL THEN _rescued_data END AS _rescued_data, _corrupt_record FROM raw"
         ),
         "stream_silver": f"SELECT {_STATE} FROM s3",
+        "stream_input_counts": (
+            "SELECT CAST(day(ingest_timestamp) AS INTEGER) AS day, "
+            "count(*) + count(*) FILTER (WHERE eventVersion IS NULL) AS input_records, count(*) AS output_records, "
+            "'SUCCESS' AS status FROM raw GROUP BY 1"
+        ),
         "silver_table": f"SELECT {_STATE} FROM s3",
         "compaction": f"SELECT {_STATE} FROM s3",
         "stream_ingest_arrays": (

@@ -350,6 +350,19 @@ def stream_rescue(spark, sf) -> DataFrame:
     return lake.bronze.read().select(*ORDER_EVENTS.raw, RESCUED, CORRUPT)
 
 
+def stream_input_counts(spark, sf) -> DataFrame:
+    """Bronze audit of a run a day: the lines that its files hold, blank ones among them, and the rows it kept."""
+    folder = own_folder(spark, "raw")
+    lake = a_lake(spark, raw_dir=f"{folder}/*", layout="lines", stage_audit="stage_audit")
+    blank = order_events(spark, sf).filter("eventVersion IS NULL")
+    for day in (1, 2, 3):
+        raw_files(spark, sf, True, (day,), folder)
+        blank.filter(F.dayofmonth("ingest_timestamp") == day).select(F.lit(" ").alias("value")).write.mode("append").text(f"{folder}/day={day}")
+        ingest(lake, at(DAYS[day - 1]))
+    audit_rows = lake.stage_audit().withColumn("day", F.dayofmonth("run_timestamp"))
+    return audit_rows.select("day", "input_records", "output_records", "status")
+
+
 def stream_silver(spark, sf) -> DataFrame:
     """Files are added to one folder day by day; each run of the same query, with the same checkpoint,
     picks up those it has not seen and brings the keyed table up to date."""
@@ -574,6 +587,7 @@ def _registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_json": stream_json,
         "stream_ingest_rescue": stream_rescue,
         "stream_silver": stream_silver,
+        "stream_input_counts": stream_input_counts,
         "compaction": compacted,
         "stream_ingest_arrays": stream_array_files,
         "stream_ingest_split": stream_split_files,

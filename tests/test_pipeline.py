@@ -70,7 +70,7 @@ def test_two_runs_end_to_end(spark, tmp_path, detect):
     assert rows_of(lake.gold.read(), *GOLD) == [(date(2026, 5, 15), 2, 230.5)]
     audit = {r["stage_name"]: r for r in lake.stage_audit().collect()}
     assert sorted(audit) == ["bronze", "gold", "silver"]
-    assert audit["bronze"]["input_records"] == -1 and audit["bronze"]["output_records"] == 7
+    assert (audit["bronze"]["input_records"], audit["bronze"]["output_records"]) == (7, 7)
     assert (audit["silver"]["input_records"], audit["silver"]["output_records"]) == (7, 2)
     assert audit["silver"]["rejected_records"] == 3
     assert audit["silver"]["details"].startswith("cleanRecords=4,quarantineRows=3")
@@ -315,6 +315,47 @@ def test_lines_layout(spark, tmp_path):
     )
 
 
+def bronze_audit(lake):
+    rows = lake.stage_audit().filter("stage_name = 'bronze'").orderBy("run_timestamp").collect()
+    return [(r["input_records"], r["output_records"], r["details"]) for r in rows]
+
+
+def test_input_of_lines_is_counted_by_the_source(spark, tmp_path):
+    lake, raw = lake_at(spark, tmp_path, layout="lines", min_output_ratio=0.5), tmp_path / "raw"
+    write_lines(raw, "a.json", ['{"orderId":"a","amount":1}', *["  "] * 5])
+    write_lines(raw, "b.json", ['{"orderId":"b","amount":1}'])
+    alerts = ingest(lake, maxFilesPerTrigger=1)
+    assert [r["alert"] for r in alerts.collect()] == ["LOW_OUTPUT_RATIO"]
+    write_lines(raw, "c.json", ["  ", " "])
+    assert [r["alert"] for r in ingest(lake).collect()] == ["ZERO_OUTPUT"]
+    assert ingest(lake).count() == 0
+    assert bronze_audit(lake) == [(7, 2, "input=rows"), (2, 0, "input=rows"), (0, 0, "input=rows")]
+
+
+def test_input_of_files_is_the_records_cut_from_them(spark, tmp_path):
+    lake, raw = lake_at(spark, tmp_path), tmp_path / "raw"
+    write_array(raw, "array.json", [(f"a{i}", "c", 1.0, "2026-01-01", "2026-01-01", 1) for i in range(5)])
+    write_lines(raw, "lines.json", ['{"orderId":"l","amount":1}', "", "nope"])
+    (raw / "empty.json").write_text("")
+    assert ingest(lake, maxFilesPerTrigger=2).count() == 0
+    (raw / "blank.json").write_text(" \n")
+    ingest(lake)
+    assert bronze_audit(lake) == [(7, 7, "input=records,files=2"), (0, 0, "input=records,files=1")]
+
+
+def test_counting_outlives_the_list_of_progress(spark, tmp_path):
+    """Each query has its own count, however many batches it takes."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        lake, raw = lake_at(spark, tmp_path, layout="lines"), tmp_path / "raw"
+        for i in range(6):
+            write_lines(raw, f"{i}.json", ['{"orderId":"x"}'] * (i + 1))
+        ingest(lake, maxFilesPerTrigger=1)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert bronze_audit(lake) == [(21, 21, "input=rows")]
+
+
 def test_json_mode_keeps_unreadable_text(spark, tmp_path):
     lake, raw = lake_at(spark, tmp_path, mode=" JSON "), tmp_path / "raw"
     row = ("x", "c", 1.0, "2026-01-01", "2026-01-01", 1)

@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.operators.shape import with_ingest_time
 from tidemark.plans.lake import Lake
 from tidemark.session import scratch
 from tidemark.sources.json_files import json_stream, parse_with_rescue, rescue_stream
 from tidemark.sources.json_ranges import read_records
+from tidemark.streaming.progress import input_rows
 
-NO_INPUT_COUNT = "input not counted: files are read as they arrive"
+UNKNOWN = -1
 
 
 def open_stream(lake: Lake, **options) -> DataFrame:
@@ -35,28 +36,42 @@ def ingest(
     failure is recognised by its slice and not appended twice.  ``then`` runs
     after every batch, for a keyed table that follows without a second query.
     Returns the alerts of the run.
+
+    The audit's input count is what the source gave: lines, blank ones too, or records.
+    If the source gives files to be cut, it is the records cut from them, counted while they are written.
     """
     bronze, checkpoint = lake.bronze, lake.settings.checkpoint
     before = bronze.snapshot().version
+    cut: list[int] = []
 
     def store(batch: DataFrame, batch_id: int) -> None:
         name = f"{_query_id(lake, checkpoint)}-{batch_id}"
         known = bronze.versions().filter(F.col("slice") == name).limit(1).count()
         if not known:
             with scratch(lake.spark, "ranges") as folder:
-                stamped = with_ingest_time(_events(lake, batch, folder), lake.entity.mark, as_of)
-                bronze.replace(stamped, kind="append", into=name, as_of=as_of)
+                # nothing is shuffled between the records and the files, so a repeated task is not counted twice
+                records = Observation("records")
+                events = _events(lake, batch, folder, records)
+                bronze.replace(with_ingest_time(events, lake.entity.mark, as_of), kind="append", into=name, as_of=as_of)
+                if _gives_files(batch):
+                    cut.append(records.get.get("records", 0))
         if then is not None:
             then()
 
-    query = (
-        open_stream(lake, **options)
-        .writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    stream = open_stream(lake, **options)
+    with input_rows(lake.spark) as counted:
+        query = (
+            stream.writeStream.foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        given = counted.of(query)
+    received = UNKNOWN if given is None else given
+    details = "input=rows"
+    if _gives_files(stream):
+        received, details = sum(cut), f"input=records,files={given}"
 
     added = (
         bronze.versions()
@@ -65,22 +80,27 @@ def ingest(
         .first()[0]
     )
     counts = {
-        "input_records": -1,
+        "input_records": received,
         "output_records": added,
         "rejected_records": 0,
         "rescued_records": 0,
-        "details": NO_INPUT_COUNT,
+        "details": details,
         "alert_output": added,
     }
     return lake.write_stage_audit("bronze", counts, str(uuid.uuid4()), as_of)
 
 
-def _events(lake: Lake, batch: DataFrame, folder: str) -> DataFrame:
-    if batch.columns != ["path"]:
+def _gives_files(df: DataFrame) -> bool:
+    return df.columns == ["path"]
+
+
+def _events(lake: Lake, batch: DataFrame, folder: str, counted: Observation) -> DataFrame:
+    if not _gives_files(batch):
         return batch
     # the file source has listed them on the driver already
     paths = [row["path"] for row in batch.collect()]
-    return parse_with_rescue(read_records(lake.spark, paths, folder), lake.entity)
+    records = read_records(lake.spark, paths, folder).observe(counted, F.count(F.lit(1)).alias("records"))
+    return parse_with_rescue(records, lake.entity)
 
 
 def _query_id(lake: Lake, checkpoint: str) -> str:
