@@ -432,6 +432,7 @@ def oracles() -> dict[str, str]:
         WHEN day(order_date) = 3 THEN 144115188075855872::DOUBLE * length(orderId) ELSE amount END AS amount
     FROM latest) GROUP BY order_date""",
     }
+    out["stream_latest_state"] = out["latest_version_first"]
     out["stream_ingest_split"] = out["stream_ingest_json"]
     for code, predicate in _FIRES.items():
         out[f"rule_{code.lower()}"] = (

@@ -23,6 +23,7 @@ from tidemark.sources.tables import expired
 from tidemark.sources.upkeep import compact_slices
 from tidemark.spec import CATEGORY, CORRUPT, ORDER_EVENTS, REASON, RESCUED, VIOLATIONS, Contract, Entity
 from tidemark.streaming.ingest import ingest
+from tidemark.streaming.newest import merge_newest
 
 STRICT, LENIENT = Contract.strict(), Contract()
 DAYS = ("2026-01-01 00:00:00", "2026-01-02 00:00:00", "2026-01-03 00:00:00")
@@ -400,6 +401,17 @@ def stream_split_files(spark, sf) -> DataFrame:
     return lake.bronze.read().select(*ORDER_EVENTS.raw, RESCUED, CORRUPT)
 
 
+def stream_latest_state(spark, sf) -> DataFrame:
+    """Accepted events in files of any order; keyed state lets through what is newest so far, and the merge takes it."""
+    folder = own_folder(spark, "accepted")
+    accepted = clean(spark, sf)
+    accepted.repartition(6, F.xxhash64("orderId", "event_version")).write.parquet(folder)
+    lake = a_lake(spark, batch_order="version", require_update_time=True, require_version=True)
+    arriving = spark.readStream.schema(accepted.schema).option("maxFilesPerTrigger", 3).parquet(folder)
+    merge_newest(lake, arriving, own_folder(spark, "state"))
+    return lake.silver.read().select(*STATE)
+
+
 def stored_silver(spark, sf, broadcast_bytes: int = 0, after_each=lambda lake, day: None) -> Lake:
     lake = a_lake(spark, broadcast_bytes=broadcast_bytes)
     for day in (1, 2, 3):
@@ -588,6 +600,7 @@ def _registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest_rescue": stream_rescue,
         "stream_silver": stream_silver,
         "stream_input_counts": stream_input_counts,
+        "stream_latest_state": stream_latest_state,
         "compaction": compacted,
         "stream_ingest_arrays": stream_array_files,
         "stream_ingest_split": stream_split_files,
