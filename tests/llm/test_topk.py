@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import rows_of
@@ -35,8 +37,6 @@ def vectors(seed, n, width, step=0.01):
 
 
 def as_float(rows):
-    import numpy as np
-
     return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
 
 
@@ -67,3 +67,27 @@ def test_what_takes_no_part(spark):
 def test_large_components_stay_exact(spark):
     rows = as_float([(i, [3e9 + 1000.0 * i, -2e9, 1e3 * i]) for i in range(30)])
     assert found(spark, rows, k=3) == brute(rows, 5, 3)
+
+
+@pytest.mark.parametrize("width", [0, 1, 3, 16])
+@pytest.mark.parametrize("high", [3, 10**10])
+def test_walks_meet_each_candidate_once_and_stop_at_the_bound(width, high):
+    pick = np.random.default_rng(width)
+    v = pick.integers(-high, high, (400, width)).astype(float)
+    ids, k = np.arange(400), 5
+    for floor in (False, True):
+        exact = [sorted((-sum(int(a) * int(b) for a, b in zip(v[i], w)), j) for j, w in enumerate(v) if j != i)[:k] for i in range(20)]
+        floors = [-e[k - 1][0] for e in exact] if floor else None
+        for i, found, scores, depth, met in topk.threshold_search(ids[:20], v[:20], ids, v, k, floors):
+            if floor:  # the others may stop before they meet what only reaches the floor again, but lose nothing above it
+                assert set(found.tolist()) >= {j for s, j in exact[i] if -s >= floors[i]}
+            assert [(-int(s), int(j)) for s, j in zip(scores, found)] == exact[i]
+            assert met <= 399 and met >= len(found) and depth <= 400
+            if width == 1 and high > 3:
+                assert met < 400 / 4
+
+
+def test_a_floor_out_of_reach_ends_a_walk_before_its_first_step():
+    v = np.ones((50, 4))
+    (_, found, _, depth, met), = topk.threshold_search(np.array([99]), v[:1], np.arange(50), v, 5, [5])
+    assert (len(found), depth, met) == (0, 0, 0)

@@ -1,9 +1,10 @@
 """Exact top-k search by inner product: Fagin's threshold algorithm, block against block.
 
 Vectors are dealt to blocks by a hash of their id.  A block of candidates is kept as one sorted list per
-dimension.  A query walks its lists from their best end at equal depth; what it meets is scored in
-full, and the sum of the values at the current depth bounds all it has not met.  It stops when that bound
-is below its k-th score.  Queries that walk on together are scored together.
+dimension.  A query walks its lists from their best end at equal depth.  What it meets first is scored in
+full, once, and the sum of the values at the current depth bounds all it has not met.  It stops when that bound
+is below its k-th score, or when it has met every candidate.  All queries walk a first block; the k-th score
+each found there is carried into the others, where it ends walks early, before the first step if it can.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tidemark.session import keep
 BLOCK_ROWS, QUERY_ROWS = 2_048, 512
 SCALE = 256
 MOST_SCORE = 10**38 - 1
-#: Depths at which the bound is compared, as parts of a list.
-DEPTHS = (1 / 256, 1 / 64, 1 / 16, 1 / 4)
+#: Depth of the first step; each later one goes twice as deep.
+FIRST_DEPTH = 4
 
 
 def whole_numbers(vector: Column) -> Column:
@@ -44,41 +45,50 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
-def threshold_search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int):
-    """``(query row, ids, scores)`` of the best ``k`` of ``v`` for each row of ``q``, its own id left out."""
+def threshold_search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, floors: list | None = None):
+    """``(query row, ids, scores, depth, met)`` of the best ``k`` of ``v`` for each row of ``q``, its own id left out.
+
+    ``floors`` has a score per query that ``k`` others are known to reach, or None; what is below it is left out.
+    ``depth`` is where the walk ended in its lists, ``met`` the number of candidates it scored.
+    """
     n, width = v.shape
     high = int(np.abs(v).max(initial=0)) * int(np.abs(q).max(initial=0)) * max(1, width)
-    exact = high < 1 << 53
-    if not exact:
+    if high >= 1 << 53:
         v, q = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (v, q))
     order = np.argsort(v.astype(float), axis=0, kind="stable")  # ascending: the worst end for positive weights
     lists = np.take_along_axis(v, order, axis=0)
     up = q > 0
-    left = np.arange(len(q))
-    for part in (*DEPTHS, 1.0):
-        depth = min(n, max(k + 1, int(n * part)))
-        if depth * width >= n or depth == n:
-            break
-        # the bound at this depth: each list's value there, from the end its weight prefers
-        bound = np.where(up, q, 0) @ lists[n - depth] + np.where(up, 0, q) @ lists[depth - 1]
+    rising, falling = np.where(up, q, 0), np.where(up, 0, q)
+    unmet = ids[None, :] != q_ids[:, None]
+    tops = [(ids[:0], v[:0].sum(axis=1))] * len(q)
+    met, left, depth = np.zeros(len(q), int), range(len(q)), 0
+    while len(left):
+        # what each list has at this depth, from the end its weight prefers
+        bound = rising @ lists[n - max(1, depth)] + falling @ lists[max(1, depth) - 1]
         on = []
         for i in left:
-            met = np.unique(np.concatenate([order[n - depth:, up[i]].ravel(), order[:depth, ~up[i]].ravel()]))
-            met = met[ids[met] != q_ids[i]]
-            scores = v[met] @ q[i]
-            best = _best(scores, ids[met], k)
-            if len(best) == k and bound[i] < scores[best[-1]]:
-                yield i, ids[met][best], scores[best]
-            else:
+            found, scores = tops[i]
+            floor = floors[i] if floors else None
+            if len(found) == k and (floor is None or scores[-1] > floor):
+                floor = scores[-1]
+            if (floor is None or bound[i] >= floor) and unmet[i].any():
                 on.append(i)
-        left = np.array(on, int)
-    for at in range(0, len(left), 64):
-        some = left[at:at + 64]
-        all_scores = q[some] @ v.T
-        for i, scores in zip(some, all_scores):
-            other = ids != q_ids[i]
-            best = _best(scores[other], ids[other], k)
-            yield i, ids[other][best], scores[other][best]
+                continue
+            good = slice(None) if not floors or floors[i] is None else scores >= floors[i]
+            yield i, found[good], scores[good], depth, met[i]
+        left, step = on, min(n, max(FIRST_DEPTH, 2 * depth))
+        for i in left:
+            new = np.zeros(n, bool)
+            new[order[n - step:n - depth, up[i]]] = True
+            new[order[depth:step, ~up[i]]] = True
+            # vectors of no dimension have no lists
+            new = np.flatnonzero(new & unmet[i] if width else unmet[i])
+            unmet[i, new] = False
+            met[i] += len(new)
+            found, scores = np.concatenate([tops[i][0], ids[new]]), np.concatenate([tops[i][1], v[new] @ q[i]])
+            best = _best(scores, found, k)
+            tops[i] = found[best], scores[best]
+        depth = step
 
 
 def _matrix(table: pa.Table, name: str) -> np.ndarray:
@@ -92,7 +102,9 @@ def _search(k: int):
         rows: tuple[list, list, list] = ([], [], [])
         if len(candidates) and len(queries):
             ids, q_ids = candidates["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-            for i, found, scores in threshold_search(q_ids, _matrix(queries, "v"), ids, _matrix(candidates, "v"), k):
+            # a floor at the lowest score that fits may stand for a lower one
+            floors = [int(s) if s is not None and s > -MOST_SCORE else None for s in queries["floor"].to_pylist()]
+            for i, found, scores, *_ in threshold_search(q_ids, _matrix(queries, "v"), ids, _matrix(candidates, "v"), k, floors):
                 rows[0].extend([q_ids[i]] * len(found))
                 rows[1].extend(found.tolist())
                 rows[2].extend(Decimal(max(-MOST_SCORE, min(MOST_SCORE, int(s)))) for s in scores)
@@ -123,9 +135,22 @@ def top_k(
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
     candidates = rows.select("width", block(blocks, 1).alias("block"), every(parts).alias("part"), "vec_id", "v")
-    asking = rows.filter("asks").select("width", every(blocks).alias("block"), block(parts, 2).alias("part"), "vec_id", "v")
+    # named anew, as both sides come from one table
+    asking = rows.filter("asks").select(block(parts, 2).alias("part"), *[F.col(c).alias(c) for c in ("width", "vec_id", "v")])
     key = ("width", "block", "part")
-    found = candidates.groupBy(*key).cogroup(asking.groupBy(*key)).applyInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
+
+    def search(some: DataFrame, asked: DataFrame) -> DataFrame:
+        pairs = some.groupBy(*key).cogroup(asked.groupBy(*key))
+        return pairs.applyInArrow(_search(k), "query_id long, vec_id long, score decimal(38,0)")
+
+    unknown = F.lit(None).cast("decimal(38,0)").alias("floor")
+    found = search(candidates.filter("block = 0"), asking.select("*", F.lit(0).alias("block"), unknown))
+    if blocks > 1:
+        found = keep(found, "first-block")
+        floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("floor"))
+        others = F.explode(F.sequence(F.lit(1), F.lit(blocks - 1))).alias("block")
+        asked = asking.join(floors, "vec_id", "left").select("*", others)
+        found = found.unionByName(search(candidates.filter("block > 0"), asked))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
