@@ -283,6 +283,7 @@ def oracles() -> dict[str, str]:
         ),
         "silver_merge": f"SELECT {_STATE} FROM s3",
         "silver_merge_small_batch": f"SELECT {_STATE} FROM s3",
+        "silver_merge_bucketed": f"SELECT {_STATE} FROM s3",
         "silver_merge_cumulative": f"SELECT {_STATE} FROM sc3",
         "silver_merge_changes": f"""
   SELECT s.orderId, CASE WHEN t.orderId IS NULL THEN 'insert' ELSE 'update' END AS change,

@@ -5,6 +5,7 @@ Timestamps leave as zone-less ones, which is how DuckDB reads the same files.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,6 +20,7 @@ from tidemark.plans.lake import Lake, Settings
 from tidemark.plans.pipeline import follow
 from tidemark.session import configure, forget_later, keep, scratch_dir
 from tidemark.sources import tables
+from tidemark.sources.bucketed import BucketedTable
 from tidemark.sources.tables import expired
 from tidemark.sources.upkeep import compact_slices
 from tidemark.spec import CATEGORY, CORRUPT, ORDER_EVENTS, REASON, RESCUED, VIOLATIONS, Contract, Entity
@@ -104,6 +106,18 @@ def silver_after(spark, sf, day: int) -> DataFrame:
     return state
 
 
+def silver_bucketed(spark, sf) -> DataFrame:
+    """The same merges into a table that lies in buckets of its key."""
+    valid = keep(clean(spark, sf), "clean")
+    of_day = lambda n: newest(valid.filter(F.col("ingest_timestamp") == at(DAYS[n - 1])))
+    folder = forget_later(spark, scratch_dir(spark, "bucketed"))
+    table = BucketedTable(spark, f"silver_{uuid.uuid4().hex}", folder, "orderId", buckets=64)
+    table.replace(of_day(1))
+    for n in (2, 3):
+        table.merge(of_day(n), upsert.supersedes("event_version", "updated_at"))
+    return table.read().select(*STATE)
+
+
 def silver_small_batches(spark, sf) -> DataFrame:
     """The same merges, looking each batch up in place as long as it is small enough."""
     valid = keep(clean(spark, sf), "clean")
@@ -558,6 +572,7 @@ def _registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ).drop("ingest_timestamp"),
         "silver_merge": lambda s, d: silver_after(s, d, 3).select(*STATE),
         "silver_merge_small_batch": silver_small_batches,
+        "silver_merge_bucketed": silver_bucketed,
         "silver_merge_cumulative": silver_cumulative,
         "silver_merge_changes": silver_changes,
         "silver_merge_evolved": silver_evolved,
