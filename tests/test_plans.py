@@ -95,3 +95,40 @@ def test_only_new_bronze_files_are_read(spark, stored):
     fresh = stored.bronze.written_since(seen, "append")
     assert fresh.count() == 1
     assert all("_slice=later" in f for f in fresh.inputFiles())
+
+
+def scanned_rows(spark, df) -> int:
+    """Rows that the reader handed on, before any filter of Spark's."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        executed = df.select("order_date")._jdf.queryExecution()
+        executed.toRdd().count()
+        return executed.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_ranges_of_dates_skip_what_lies_between(spark, tmp_path):
+    """One old and one new date read their own rows, not the years between them."""
+    days = spark.range(1000).select(F.date_add(F.lit("2020-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"))
+    days.repartitionByRange(50, "order_date").sortWithinPartitions("order_date").write.parquet(str(tmp_path / "state"))
+    state = spark.read.parquet(str(tmp_path / "state"))
+    wanted = spark.createDataFrame([("2020-01-03",), ("2022-09-01",), (None,)], "d string").select(F.col("d").cast("date").alias("order_date"))
+    ranges = daily.date_ranges(wanted, "order_date")
+    assert [tuple(map(str, r)) for r in ranges] == [("2020-01-03",) * 2, ("2022-09-01",) * 2]
+    some = state.filter(daily.in_ranges(F.col("order_date"), ranges))
+    assert some.count() == 2
+    assert scanned_rows(spark, some) <= 60 < scanned_rows(spark, state)
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 32])
+def test_ranges_hold_every_date_and_stay_few(spark, most):
+    texts = ["2020-01-01", "2020-01-02", "2020-01-03", "2020-02-01", "2021-02-01", "2021-02-03", "2021-02-03"]
+    dates = spark.createDataFrame([(t,) for t in texts], "d string").select(F.col("d").cast("date").alias("d"))
+    ranges = daily.date_ranges(dates, "d", most)
+    assert len(ranges) == min(most, 4)
+    assert all(any(str(a) <= t <= str(b) for a, b in ranges) for t in texts)
+    # the widest gaps part them
+    assert most == 1 or not any(str(a) <= "2020-08-01" <= str(b) for a, b in ranges)
+    assert daily.date_ranges(dates.limit(0), "d") == []
+    assert dates.filter(daily.in_ranges(F.col("d"), [])).count() == 0

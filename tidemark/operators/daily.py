@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.sums import BIN_SUMS, COLLECTED, PARTS, total_of, with_limbs
 from tidemark.operators.shape import derive_date
@@ -11,6 +14,8 @@ from tidemark.spec import Entity
 #: What metrics are kept from beside their own columns, so that later changes can be added to them.
 ROWS, SUM_PARTS = "_rows", "_sum_parts"
 METRIC_STATE = f"{ROWS} bigint, {SUM_PARTS} {PARTS}"
+#: Ranges of days that a reader is given; more dates than that share them.
+DATE_RANGES = 32
 
 
 def daily_metrics(state: DataFrame, entity: Entity) -> DataFrame:
@@ -191,6 +196,26 @@ def affected_dates(
     )
 
 
+def date_ranges(dates: DataFrame, date: str, most: int = DATE_RANGES) -> list[tuple]:
+    """At most ``most`` ranges of days that hold all dates, parted at the widest gaps; a null date is in none.
+
+    One row per distinct day is sorted, and one row per range comes to the driver.
+    """
+    days = dates.select(F.col(date).alias("day")).filter("day IS NOT NULL").distinct()
+    ends = days.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    if ends["first"] is None:
+        return []
+    gaps = days.withColumn("before", F.lag("day").over(Window.orderBy("day"))).withColumn("gap", F.datediff("day", "before"))
+    widest = gaps.filter("gap > 1").orderBy(F.col("gap").desc(), "day").limit(most - 1).collect()
+    widest.sort(key=lambda r: r["day"])
+    return list(zip([ends["first"], *(r["day"] for r in widest)], [*(r["before"] for r in widest), ends["last"]]))
+
+
+def in_ranges(date: Column, ranges: list[tuple]) -> Column:
+    """Whether a date lies in one of the ranges; as plain comparisons, which readers take."""
+    return reduce(or_, (date.between(first, last) for first, last in ranges), F.lit(False))
+
+
 def restrict_to_dates(state: DataFrame, dates: DataFrame, entity: Entity) -> DataFrame:
     """Rows of the keyed table on the given dates.
 

@@ -10,6 +10,8 @@ from tidemark.operators.daily import (
     affected_dates,
     changes_by_date,
     daily_metrics_with_state,
+    date_ranges,
+    in_ranges,
     maintained_metrics,
     refreshed_metrics,
 )
@@ -60,8 +62,6 @@ def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
         span = dates.agg(
             F.count(F.lit(1)).alias("n"),
             F.count(date).alias("known"),
-            F.min(date).alias("first"),
-            F.max(date).alias("last"),
             F.collect_set(gold.slice_of).alias("slices"),
         ).first()
         if span["n"] == 0:
@@ -69,9 +69,9 @@ def refresh(lake: Lake, as_of: Column | None = None) -> DataFrame | None:
                 gold.mark_processed(source.version, as_of)
             return None
 
-        # the keyed table is sorted by date within each file: this skips row groups
+        # the keyed table is sorted by date within each file: this skips row groups, also between far dates
         if span["n"] == span["known"]:
-            state = state.filter(F.col(date).between(span["first"], span["last"]))
+            state = state.filter(in_ranges(F.col(date), date_ranges(dates, date)))
         fresh = refreshed_metrics(state, dates, entity, as_of)
 
         return _replace_dates(lake, dates, fresh, span["n"], span["slices"], made, source, as_of)
