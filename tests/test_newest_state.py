@@ -86,3 +86,29 @@ def test_late_and_repeated_events_rewrite_nothing(spark, tmp_path):
     assert arrive((3.0, 3, 3)) == (2, [(3.0, 3)])
     with pytest.raises(ValueError, match="batch_order"):
         merge_newest(lake_at(spark, tmp_path), spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "unused")
+
+
+def test_state_stays_in_spark(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    plan = newest_per_key(events, "k", ORDER)._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "Py" not in plan
+
+
+@pytest.mark.parametrize("ttl_hours, at_last", [(168, [1.0]), (0, [])])
+def test_a_key_is_forgotten_after_its_time(spark, tmp_path, monkeypatch, state_store, ttl_hours, at_last):
+    raw, checkpoint = (str(tmp_path / n) for n in ("raw", "checkpoint"))
+    spark.createDataFrame([("a", 2, None, 9.0)], SCHEMA).coalesce(1).write.mode("append").parquet(raw)
+
+    def run_after(hours, *amounts):
+        moment = F.lit(datetime(2026, 3, 2, 5) + timedelta(hours=hours)).cast("timestamp")
+        with monkeypatch.context() as m:
+            m.setattr(F, "current_timestamp", lambda: moment)
+            for amount in amounts:
+                spark.createDataFrame([("a", 1, None, amount)], SCHEMA).coalesce(1).write.mode("append").parquet(raw)
+            got = passed(spark, raw, str(tmp_path / f"out-{hours}"), checkpoint, ttl_hours=ttl_hours)
+            return sorted(r["amount"] for r in got.collect())
+
+    assert run_after(0) == [9.0]
+    assert run_after(100, 1.0) == run_after(167, 1.0) == []
+    assert run_after(167 + 2 * 168, 1.0) == at_last
