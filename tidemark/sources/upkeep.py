@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import delete
+from tidemark.sources.places import PLACE, deal, to_places
 from tidemark.sources.tables import SlicedTable, append, expired, file_sizes
 
 FILE_BYTES = 256 * 1024 * 1024
@@ -37,12 +38,10 @@ def compact_slices(
     if not chosen:
         return None
     slices = [r["_slice"] for r in chosen]
-    # a slice larger than a file is spread over as many tasks as it needs files
-    parts = table.spark.createDataFrame(chosen, "_slice string, _parts bigint")
     rows = table.read(slices, with_slice=True, snapshot=now)
-    spread = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "_slice"]), F.col("_parts"))
-    packed = rows.join(F.broadcast(parts), "_slice").withColumn("_part", spread)
-    packed = packed.repartition(sum(r["_parts"] for r in chosen), "_slice", "_part").drop("_part", "_parts")
+    # each file has a task to itself; a slice larger than a file is spread over as many as it needs
+    places = deal({r["_slice"]: r["_parts"] for r in chosen}, 1, sum(r["_parts"] for r in chosen))
+    packed = to_places(rows, places, *[c for c in rows.columns if c != "_slice"]).drop(PLACE)
     return table.replace(packed, slices, kind="compact", as_of=as_of, snapshot=now)
 
 
