@@ -91,7 +91,7 @@ def parse_with_rescue(records: DataFrame, entity: Entity) -> DataFrame:
     parsed = records.select(
         "record",
         F.from_json("record", entity.raw_schema).alias("typed"),
-        F.from_json("record", "map<string,string>").alias("found"),
+        F.json_object_keys("record").alias("names"),
     )
     readable = F.array_remove(
         F.array(
@@ -104,12 +104,16 @@ def parse_with_rescue(records: DataFrame, entity: Entity) -> DataFrame:
         lambda name, value: ~name.isin(known)
         | (value.isNotNull() & ~F.array_contains("readable", name)),
     )
+    # a record whose names are all read is not parsed by name
+    plain = F.coalesce(F.size(F.array_except("names", "readable")) == 0, F.lit(False))
     return (
         parsed.withColumn("readable", readable)
+        .withColumn("plain", F.col("names").isNotNull() & plain)
+        .withColumn("found", F.when(~F.col("plain"), F.from_json("record", "map<string,string>")))
         .withColumn("left_over", left_over)
         .select(
             *[F.col(f"typed.`{c}`").alias(c) for c in known],
             F.when(F.size("left_over") > 0, F.to_json("left_over")).alias(RESCUED),
-            F.when(F.col("found").isNull(), F.col("record")).alias(CORRUPT),
+            F.when(~F.col("plain") & F.col("found").isNull(), F.col("record")).alias(CORRUPT),
         )
     )

@@ -14,15 +14,18 @@ from collections.abc import Iterator
 from itertools import groupby
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.session import scratch_dir
 from tidemark.sources.json_files import lines, split_records
 
-#: Escaped characters, quotes and brackets; commas too for the second pass.
-_MARKS = re.compile(rb'\\.|["\[\]{}]', re.S)
+#: Escaped characters, quotes, brackets and commas, for the second pass; braces end a chunk, so the first needs no escaped ones.
 _MARKS_AND_COMMAS = re.compile(rb'\\.|["\[\]{},]', re.S)
+_ESCAPED = re.compile(rb"\\[^}]", re.S)
+#: A comma and all of an object but its last brace, with nothing nested in it and no escapes.
+_PLAIN = re.compile(rb'[ \t\r\n]*,([^"\\\[\]{},]*\{[^"\\\[\]{}]*(?:"[^"\\]*"[^"\\\[\]{}]*)*)')
 _BLANK = b" \t\r\n"
 _BOM = b"\xef\xbb\xbf"
 #: The states of all ranges of a batch are sent to every task: some 200 bytes each.
@@ -38,11 +41,27 @@ def _ranges(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, Iterator[bytes]]]:
-    """The ranges of a task, each with its chunks in order; a brace has been cut off each chunk."""
-    rows = (row for batch in batches for row in zip(*(batch[c].to_pylist() for c in ("file", "start", *more, "value"))))
-    for key, found in groupby(rows, lambda row: row[:-1]):
-        yield key, (row[-1] for row in found)
+def _runs(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, list[bytes]]]:
+    """The ranges of a task with chunks of each in order, some at a time; a brace has been cut off each chunk."""
+    names = ("file", "start", *more)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files = batch.column("file").dictionary_encode().indices.to_numpy()
+        starts = batch.column("start").to_numpy()
+        edges = np.flatnonzero((files[1:] != files[:-1]) | (starts[1:] != starts[:-1])) + 1
+        values = batch.column("value").to_pylist()
+        for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+            yield tuple(batch.column(c)[a].as_py() for c in names), values[a:b]
+
+
+def _ranges_of(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple[tuple, Iterator[list[bytes]]]]:
+    for key, found in groupby(_runs(batches, *more), lambda run: run[0]):
+        yield key, (run[1] for run in found)
+
+
+def _balance(data: bytes) -> int:
+    return data.count(b"{") + data.count(b"[") - data.count(b"}") - data.count(b"]")
 
 
 def _is_record(line: bytes) -> bool:
@@ -53,26 +72,30 @@ def _is_record(line: bytes) -> bool:
 
 
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (file, start), chunks in _chunks(batches):
+    for (file, start), runs in _ranges_of(batches):
         quotes, delta, last = 0, [0, 0], b""
         first, line, several = b"", b"", None
-        for chunk in chunks:
+        for chunks in runs:
             if start == 0 and several is None:
-                # the beginning of the file, up to its second line
-                line = (line + chunk + b"}").lstrip(_BLANK + _BOM)
-                first = first or line[:1]
-                head, *rest = line.split(b"\n", 1)
-                if rest and rest[0].strip(_BLANK + b"}"):
-                    line, several = head, True
-            for mark in _MARKS.findall(chunk):
-                if mark == b'"':
-                    quotes ^= 1
-                elif mark in b"[{":
-                    delta[quotes] += 1
-                elif mark in b"]}":
-                    delta[quotes] -= 1
-            delta[quotes] -= 1
-            last = chunk.rstrip(_BLANK)[-1:]
+                for chunk in chunks:
+                    # the beginning of the file, up to its second line; an array needs no more than its bracket
+                    line = (line + chunk + b"}").lstrip(_BLANK + _BOM)
+                    first = first or line[:1]
+                    head, *rest = line.split(b"\n", 1)
+                    if rest and rest[0].strip(_BLANK + b"}"):
+                        line, several = head, True
+                    elif first == b"[":
+                        several = False
+                    if several is not None:
+                        break
+            data = b"}".join(chunks) + b"}"
+            if b"\\" in data:
+                data = _ESCAPED.sub(b"", data)
+            parts = data.split(b'"')
+            delta[quotes] += _balance(b"".join(parts[0::2]))
+            delta[1 - quotes] += _balance(b"".join(parts[1::2]))
+            quotes ^= (len(parts) - 1) & 1
+            last = chunks[-1].rstrip(_BLANK)[-1:]
         # of a short file the added brace may be too much
         whole = _is_record(line) or _is_record(line.rstrip(_BLANK)[:-1])
         row = [file, start, quotes, *delta, first.decode("utf-8", "replace"), whole, bool(several), last.decode("utf-8", "replace")]
@@ -120,11 +143,25 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns[3] = columns[3].cast(pa.string())
         return pa.RecordBatch.from_arrays(columns, ["file", "start", "place", "text"])
 
-    for (file, start, in_string, depth, last_range), chunks in _chunks(batches, "in_string", "depth", "last_range"):
+    for (file, start, in_string, depth, last_range), runs in _ranges_of(batches, "in_string", "depth", "last_range"):
+        chunks = (chunk for run in runs for chunk in run)
         # what is read before the array's bracket is dropped; later ranges begin within an element
         held, inherited, chunk = [], start > 0, next(chunks)
         while chunk is not None:
             following = next(chunks, None)
+            if depth == 1 and not in_string and not inherited and following is not None and (plain := _PLAIN.fullmatch(chunk)):
+                # the comma ends what is held, the next one what this adds
+                held.append(chunk[:plain.start(1) - 1])
+                text = b"".join(held).strip(_BLANK)
+                if text:
+                    rows.append((None, None, None, text))
+                    size += len(text)
+                held = [plain.group(1) + b"}"]
+                chunk = following
+                if size >= 8 << 20:
+                    yield batch()
+                    rows, size = [], 0
+                continue
             data = chunk if following is None and last_range else chunk + b"}"
             at = 0
             for mark in _MARKS_AND_COMMAS.finditer(data):
@@ -171,9 +208,10 @@ def array_elements(spark: SparkSession, paths: list[str], states: DataFrame, fol
     whole = pieces.groupBy("file", "chain").agg(F.array_sort(F.collect_list(F.struct("start", "place", "text"))).alias("all"))
     joined = whole.select(F.trim(F.array_join(F.col("all.text"), "")).alias("text")).filter("text <> ''")
     texts = cut.filter("place IS NULL").select("text").unionByName(joined)
-    # as Spark gives the elements of an array: texts without quotes, records without blanks
+    # as Spark gives the elements of an array: texts without quotes, nested arrays without blanks; an object is parsed later
     element = F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<string>")
-    return texts.select(F.when(element.isNull(), F.col("text")).otherwise(F.coalesce(F.get(element, F.lit(0)), F.lit("null"))).alias("record"))
+    other = F.when(element.isNull(), F.col("text")).otherwise(F.coalesce(F.get(element, F.lit(0)), F.lit("null")))
+    return texts.select(F.when(F.startswith("text", F.lit("{")), F.col("text")).otherwise(other).alias("record"))
 
 
 def read_records(spark: SparkSession, paths: list[str], folder: str | None = None) -> DataFrame:
