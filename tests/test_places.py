@@ -55,3 +55,22 @@ def test_a_merge_holds_few_rows_in_a_task(spark, tmp_path):
     # a batch as large as the table: each task holds both and the result
     assert sum(found := rows_of_tasks(merge_batch(lake, lake.silver, batch(2.0, 2)))) == 3200 and max(found) <= 500
     assert lake.silver.read().filter("amount = 2.0 AND event_version = 2").count() == 3200
+
+
+def test_a_merge_holds_few_bytes_in_a_task(spark, tmp_path):
+    """Slices well below the limit of rows are spread by the width of their rows."""
+    lake = lake_at(spark, tmp_path, slices=2, broadcast_bytes=0, bytes_per_task=200_000)
+
+    def batch(amount, version):
+        when = F.timestamp_seconds(F.lit(1_767_225_600) + version)
+        return spark.range(2000).select(
+            F.concat(F.lit("o"), "id").alias("orderId"), F.lit("c" * 800).alias("customerId"), F.lit(amount).alias("amount"),
+            when.alias("timestamp"), when.alias("ingest_timestamp"), when.alias("updated_at"),
+            F.lit(version).cast("bigint").alias("event_version"), F.to_date(when).alias("order_date"))
+
+    for version, most in ((1, 160), (2, 80)):
+        merged = merge_batch(lake, lake.silver, batch(float(version), version))
+        task = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).alias("task")
+        found = [r["count"] for r in spark.read.parquet(lake.silver.folder(merged)).groupBy(task).count().collect()]
+        assert sum(found) == 2000 and max(found) <= most, (version, sorted(found))
+    assert lake.silver.read().filter("amount = 2.0 AND length(customerId) = 800").count() == 2000
