@@ -4,12 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import ROWS, clashing, documents, empty, rows_of
 from tidemark.llm import packing, token_counts, wavelet
+from tidemark.llm.common import by_bytes
 from tidemark.llm.encoding import Encoder
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -148,6 +150,28 @@ def test_shards_round_trip(spark):
     assert wavelet.round_trip(empty(spark), BYTES).collect() == []
 
 
+@pytest.mark.parametrize("name", [BYTES, WORDS])
+def test_many_texts_at_once(name):
+    """Each distinct run goes to the library's model once, wherever it occurs."""
+    texts = pa.array(["skip", None, *ODD, *["some words, some words."] * 50]).slice(1)
+    fresh = Encoder(name)
+    calls, run = [], fresh._run
+    fresh._run = lambda piece: calls.append(piece) or run(piece)
+    ids, ends = fresh.encode_all(texts)
+    library, at = Tokenizer.from_file(name), 0
+    for text, end in zip(texts.to_pylist(), ends.tolist()):
+        assert ids[at:end].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+        at = end
+    assert at == len(ids) and (not fresh.direct or calls.count(" words") == 1)
+    assert [len(x) for x in fresh.encode_all(pa.array([], pa.string()))] == [0, 0]
+
+
+def test_rows_are_cut_by_the_bytes_of_their_texts():
+    batch = pa.RecordBatch.from_pydict({"n": list(range(7)), "text": ["a" * 4, None, "é" * 3, "b" * 50, "", "c" * 9, "d"]})
+    found = [cut.column("n").to_pylist() for cut in by_bytes([batch.slice(0), batch.slice(0, 0)], "text", 10)]
+    assert found == [[0, 1, 2], [3], [4, 5, 6]]
+
+
 def test_each_shard_is_one_file(spark, tmp_path):
     wavelet.write_shards(documents(spark), str(tmp_path / "s"), BYTES, shard_tokens=500, task_documents=4)
     files = list((tmp_path / "s").glob("*.parquet"))

@@ -6,7 +6,9 @@ import os
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -41,6 +43,17 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, with at most about ``most`` bytes of a text column at a time, or a single row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            past = max(at + 1, int(np.searchsorted(ends, most + (ends[at - 1] if at else 0), "right")))
+            yield batch.slice(at, past - at)
+            at = past
+
+
 def dealt(rows: int, per_task: int) -> int:
     """Number of partitions that leaves about ``per_task`` rows in each."""
     return max(1, -(-rows // per_task))

@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import dealt, texts, workers_import
+from tidemark.llm.common import by_bytes, dealt, texts, workers_import
 from tidemark.llm.encoding import encoder
 from tidemark.session import scratch_dir
 
@@ -28,6 +28,8 @@ BLOCK = 512
 SHARD_TOKENS = 1 << 20
 #: Documents of one range of ids, which one task encodes.
 TASK_DOCUMENTS = 10_000
+#: Texts that a task encodes at once.
+TASK_BYTES = 4 << 20
 
 
 class WaveletMatrix:
@@ -172,29 +174,30 @@ def write_shards(
     in an order that depends on their texts.
     """
     workers_import(documents.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library, ids, held, n, size = encoder(tokenizer), [], [], 0, 0
         part = None
 
         def shard() -> pa.RecordBatch:
             nonlocal ids, held, n, size
-            ends = np.cumsum([len(x) // 4 for x in ids])
-            data = to_file(np.frombuffer(b"".join(ids), "<u4"), ends)
+            data = to_file(np.concatenate(ids), np.cumsum([len(x) for x in ids]))
             row = [[part], [n], [size], [held], [data]]
             kinds = (pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             ids, held, n, size = [], [], n + 1, 0
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(row, kinds)], names=["part", "shard", "n_tokens", "doc_ids", "data"])
 
-        for batch in batches:
-            for part, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id", "text"))):
-                found = library.encode(text) + end
-                ids.append(found)
+        for batch in by_bytes(batches, "text", TASK_BYTES):
+            found, ends = library.encode_all(batch.column("text"))
+            found = np.insert(found, ends, end_id)
+            texts_ids = np.split(found, (ends + np.arange(1, len(ends) + 1))[:-1])
+            for part, doc_id, own in zip(*(batch.column(c).to_pylist() for c in ("part", "doc_id")), texts_ids):
+                ids.append(own)
                 held.append(doc_id)
-                size += len(found) // 4
+                size += len(own)
                 if size >= shard_tokens:
                     yield shard()
+            # Arrow would keep the memory of the largest cut for the worker's life
+            pa.default_memory_pool().release_unused()
         if ids:
             yield shard()
 
