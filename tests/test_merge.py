@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows_of
 
-from tidemark.operators.latest import latest_per_key
+from tidemark.operators.latest import deal, latest_per_key
 from tidemark.operators.shape import evolve_state
 from tidemark.operators.upsert import (
     merge_newer,
@@ -97,6 +97,30 @@ def test_latest_with_one_key_holding_most_rows(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_latest_does_not_sort_a_whole_split_in_one_task(spark):
+    """One input split, most of it one key: what is sorted comes in parts of the advisory size."""
+    rng = random.Random(6)
+    rows = [row("hot" if rng.random() < 0.6 else f"k{rng.randint(0, 2000)}", rng) for _ in range(20_000)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    sizes = [f"spark.sql.adaptive.{name}" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    before = {size: spark.conf.get(size) for size in sizes}
+    for size in sizes:
+        spark.conf.set(size, "16k")
+    try:
+        dealt = deal(df, *df.columns).groupBy(F.spark_partition_id()).count().collect()
+        got = latest_per_key(df, "k", ["updated_at", "event_version"], any_splits=True)
+        same = rows_of(got, "*") == rows_of(latest_per_key(df, "k", ["updated_at", "event_version"]), "*")
+    finally:
+        for size in sizes:
+            spark.conf.set(size, before[size])
+    assert sum(r["count"] for r in dealt) == 20_000 and max(r["count"] for r in dealt) < 4_000
+    assert same
+    # dealt before the first sort, and each key still cut to a row per task before the shuffle on it
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+    assert plan.rindex("REBALANCE_PARTITIONS_BY_COL") > plan.rindex("WindowGroupLimit")
+
+
 def test_evolving_fills_update_time(spark):
     old = spark.createDataFrame(
         [("a", datetime(2026, 1, 1), datetime(2026, 1, 2)), ("b", None, datetime(2026, 1, 3))],
