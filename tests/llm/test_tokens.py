@@ -88,6 +88,25 @@ def test_packing(spark):
     assert packing.packed_documents(empty(spark), WORDS, capacity).collect() == []
 
 
+def test_pieces_of_many_texts_at_once():
+    """Texts are encoded together: a run is asked for once, and only texts that cannot be cut go through by themselves."""
+    rows = [(None, "one word, one word"), (3, None), (3, ""), (5, "some words, some words. " * 40 + "end"), (4, "Ça va? <|endoftext|> don't  stop\n\nnow 12 日本語")]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], names=["doc_id", "text"])
+    fresh, library, want = Encoder(WORDS), Tokenizer.from_file(WORDS), []
+    calls, alone, run, encode = [], [], fresh._run, fresh.encode
+    fresh._run = lambda piece: calls.append(piece) or run(piece)
+    fresh.encode = lambda text: alone.append(text) or encode(text)
+    for doc_id, text in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 7]
+        for n, start in enumerate(range(0, len(ids), 16)):
+            part = ids[start:start + 16]
+            want.append((doc_id, n, start, len(part), np.array(part, "<u4").tobytes()))
+    found = packing._pieces_of(batch, fresh, 16, 7)
+    assert list(zip(*(c.to_pylist() for c in found.columns))) == want
+    assert set(alone) <= {"", rows[4][1]} and (not fresh.direct or calls.count(" words") == 1)
+    assert packing._pieces_of(batch.slice(0, 0), fresh, 16, 7).num_rows == 0
+
+
 def test_partitions_with_gaps_exchange_pieces(spark):
     random = np.random.default_rng(3)
     lengths = random.integers(1, 101, 3000).tolist()

@@ -17,37 +17,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import dealt, small, texts, workers_import
-from tidemark.llm.encoding import encoder
+from tidemark.llm.common import by_bytes, dealt, texts, workers_import
+from tidemark.llm.encoding import Encoder, encoder
 from tidemark.session import keep
 
 #: Pieces a task packs at once, and partitions whose open pieces meet in one in the next round.
 TASK_PIECES, MEET = 50_000, 16
+#: Texts that a task encodes at once.
+TASK_BYTES = 2 << 20
 #: Sequences of many pieces that a partition gives back for each of its emptiest.
 MIX = 16
 FUNCTIONS = 24
 
 
+def _pieces_of(batch: pa.RecordBatch, library: Encoder, capacity: int, end_id: int) -> pa.RecordBatch:
+    """The pieces of a few texts, which are encoded together."""
+    found, ends = library.encode_all(batch.column("text"))
+    found = np.insert(found, ends, end_id)
+    sizes = np.diff(ends + np.arange(1, len(ends) + 1), prepend=0)
+    counts = -(-sizes // capacity)
+    of = np.repeat(np.arange(len(sizes)), counts)
+    piece = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    start = piece * capacity
+    length = np.minimum(capacity, sizes[of] - start)
+    # the pieces lie one after the other in ``found``
+    at = np.concatenate([[0], 4 * np.cumsum(length)]).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer(at), pa.py_buffer(found)])
+    columns = [batch.column("doc_id").take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), ids]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
+
+
 def token_pieces(documents: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, cached: int = 800_000) -> DataFrame:
     """``doc_id, piece, start, length, ids``: the tokens of each whole text and ``end_id``, cut every ``capacity``.
 
     ``ids`` are little-endian unsigned 32-bit integers.  A null text is empty and gives the end alone.
     """
     workers_import(documents.sparkSession)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = encoder(tokenizer, cached)
-        for batch in small(batches):
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = library.encode(text) + end
-                for n, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at:at + 4 * capacity]
-                    for column, value in zip(rows, (doc_id, n, at // 4, len(part) // 4, part)):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=["doc_id", "piece", "start", "length", "ids"])
+        for batch in by_bytes(batches, "text", TASK_BYTES):
+            yield _pieces_of(batch, library, capacity, end_id)
+            # Arrow would keep the memory of the largest cut for the worker's life
+            pa.default_memory_pool().release_unused()
 
     return texts(documents).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
