@@ -26,7 +26,7 @@ TASK_PIECES, MEET = 50_000, 16
 #: Texts that a task encodes at once.
 TASK_BYTES = 2 << 20
 #: Sequences of many pieces that a partition gives back for each of its emptiest.
-MIX = 16
+MIX = 32
 FUNCTIONS = 24
 
 
