@@ -185,6 +185,31 @@ def test_many_texts_at_once(name):
     assert [len(x) for x in fresh.encode_all(pa.array([], pa.string()))] == [0, 0]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_runs_at_line_breaks_are_those_of_words(path):
+    """A run is encoded once, whether the piece it stands in is broken by a line or not, and in later calls as well."""
+    fresh, library, calls = Encoder(path), Tokenizer.from_file(path), []
+    run = fresh._run
+    fresh._run = lambda piece: calls.append(piece) or run(piece)
+    texts = ["see first.\nThen first. then first, first.\nThen!!\nx", None, "no first.\nThen", "see first:\nThen"]
+    for some in (texts, texts[::-1]):
+        ids, ends = fresh.encode_all(pa.array(some, pa.string()))
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert calls.count(" first") == 1 and calls.count("Then") <= 2  # once more for the piece of three lines
+
+
+def test_few_runs_are_kept():
+    """A table of runs much smaller than the texts need gives the library's ids; what it keeps is bounded."""
+    fresh, library, random = Encoder(BYTES, limit=40), Tokenizer.from_file(BYTES), np.random.default_rng(5)
+    letters = list("abcdeéßÑ")
+    for _ in range(30):
+        words = ["".join(random.choice(letters, random.integers(1, 4))) + str(random.choice(["", ",", ".\nIn", "\n"])) for _ in range(60)]
+        texts = [" ".join(words[:30]), *ODD, " ".join(words[30:])]
+        ids, ends = fresh.encode_all(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(fresh.met.names) <= fresh.met.limit + 200
+
+
 def test_rows_are_cut_by_the_bytes_of_their_texts():
     batch = pa.RecordBatch.from_pydict({"n": list(range(7)), "text": ["a" * 4, None, "é" * 3, "b" * 50, "", "c" * 9, "d"]})
     found = [cut.column("n").to_pylist() for cut in by_bytes([batch.slice(0), batch.slice(0, 0)], "text", 10)]
